@@ -627,8 +627,7 @@ def raw_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("study").alias("purpose"),
         F.sha2(F.col("c_name"), 256).alias("email_hash"),
         F.to_timestamp_ntz(F.lit("2024-01-01 00:00:00")).alias("created_at"),
-        _pick(F.when(F.col("c_acctbal") < 0, 0).otherwise(F.when(F.col("c_acctbal") < 2000, 1)), "revoked", "active")
-        .alias("status"),
+        F.when(F.col("c_acctbal") < 0, "revoked").when(F.col("c_acctbal") < 2000, "active").alias("status"),
     )
 
 

@@ -130,36 +130,44 @@ def parse_responses(responses: DataFrame, cfg: VerdictConfig = VerdictConfig())
     Text that is no JSON object, a value outside its enumeration or range, or a value of the wrong type makes the row
     ``malformed_response`` with an empty body. A key that is not there is NULL and does no harm.
     """
-    doc = F.try_parse_json(strip_fence(F.col("response_text")))
+    body = strip_fence(F.col("response_text"))
+    # The parser stops after the first value. A marker behind the answer is only found if nothing else was there.
+    marker = F.sha2(body, 256)
+    framed = F.try_parse_json(F.concat(F.lit("["), body, F.lit(',"'), marker, F.lit('"]')))
     v = F.col("_doc")
 
     def field(name: str, kind: str) -> Column:
-        return F.try_variant_get(v, f"$.{name}", kind)
+        return F.try_variant_get(v, f"$[0].{name}", kind)
 
     def present(name: str) -> Column:
         # a JSON null is as good as absent
-        return field(name, "string").isNotNull() | ~F.coalesce(
-            F.is_variant_null(F.try_variant_get(v, f"$.{name}", "variant")), F.lit(True)
-        )
+        value = field(name, "variant")
+        return value.isNotNull() & ~F.is_variant_null(value)
 
     def allowed(name: str, values: tuple[str, ...]) -> Column:
         return ~present(name) | F.coalesce(field(name, "string").isin(*values), F.lit(False))
 
     confidence = field("confidence", "double")
-    is_object = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    whole = F.try_variant_get(v, "$[1]", "string") == F.col("_marker")
+    is_object = F.schema_of_variant(F.try_variant_get(v, "$[0]", "variant")).startswith("OBJECT")
+    doubts = field("uncertainty_flags", "array<string>")
+    texts_only = F.schema_of_variant(field("uncertainty_flags", "variant")).isin("ARRAY<STRING>", "ARRAY<VOID>")
     good = (
-        is_object
+        F.coalesce(whole & is_object, F.lit(False))
         & allowed("recommendation", cfg.recommendations)
         & allowed("primary_signal", cfg.primary_signals)
         & (~present("confidence") | F.coalesce(confidence.between(0.0, 1.0), F.lit(False)))
-        & (~present("uncertainty_flags") | field("uncertainty_flags", "array<string>").isNotNull())
+        & (
+            ~present("uncertainty_flags")
+            | F.coalesce(texts_only & F.forall(doubts, lambda text: text.isNotNull()), F.lit(False))
+        )
     )
-    body = responses.withColumn("_doc", doc).withColumn("_good", good)
+    judged = responses.withColumns({"_doc": framed, "_marker": marker}).withColumn("_good", good)
 
     def if_good(c: Column) -> Column:
         return F.when(F.col("_good"), c)
 
-    return body.select(
+    return judged.select(
         *responses.columns,
         if_good(field("recommendation", "string")).alias("recommendation"),
         if_good(confidence).alias("confidence"),
@@ -167,7 +175,7 @@ def parse_responses(responses: DataFrame, cfg: VerdictConfig = VerdictConfig())
         if_good(
             F.substring(F.coalesce(field("reasoning", "string"), F.lit("")), 1, cfg.max_reasoning_chars)
         ).alias("reasoning"),
-        F.coalesce(if_good(field("uncertainty_flags", "array<string>")), F.array().cast("array<string>")).alias(
+        F.coalesce(if_good(doubts), F.array().cast("array<string>")).alias(
             "uncertainty_flags"
         ),
         F.sha2("response_text", 256).alias("response_hash"),
