@@ -1 +1,242 @@
+"""Sources, sinks and the checks on the way in."""
 
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from glasswatch.catalog import tables as t
+from glasswatch.catalog.registry import register
+from glasswatch.schemas import BRONZE
+from glasswatch.session import new_path
+from glasswatch.sources import ingest, readers, sinks
+
+_ORDERS = "o_orderkey, o_custkey, o_orderstatus, o_orderpriority"
+
+
+def _merged(s, d):
+    """Two deliveries with different columns, written and read back as one table."""
+    orders = t.table(s, d, "orders")
+    paid = orders.filter("o_orderstatus = 'F'").select("o_orderkey", "o_custkey", "o_orderpriority")
+    other = orders.filter("o_orderstatus <> 'F'").select("o_orderstatus", "o_orderkey")
+    paths = new_path(s, "delivery_a"), new_path(s, "delivery_b")
+    sinks.write_mart(paid, paths[0])
+    sinks.write_mart(other, paths[1])
+    return readers.read_merged(s, *paths).select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+
+
+register(
+    "src_union_by_name", _merged,
+    "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_custkey END AS o_custkey, nullif(o_orderstatus, 'F') AS "
+    "o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS o_orderpriority FROM orders",
+)
+_ORDER_SCHEMA = T.StructType(
+    [T.StructField("o_orderkey", T.LongType()), T.StructField("o_orderdate", T.TimestampNTZType())]
+)
+register(
+    "src_parquet",
+    lambda s, d: readers.read_parquet(s, f"{d}/orders.parquet", _ORDER_SCHEMA).filter("o_orderdate >= timestamp_ntz'1999-01-01'"),
+    "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01 00:00:00'",
+    times="o_orderdate",
+)
+
+
+def _csv(s, d):
+    path = new_path(s, "keys_csv")
+    t.raw_keys(s, d).write.option("header", True).csv(path)
+    return readers.read_csv(s, path, BRONZE["researcher_keys"])
+
+
+register("src_csv_header", _csv, "SELECT * FROM keys", "keys", times="created_at")
+
+
+def _seed(s, d):
+    path = new_path(s, "states_csv")
+    t.member_states(s, d).write.option("header", True).csv(path)
+    return readers.read_seed(s, path, "eu_member_states")
+
+
+register(
+    "src_seed", _seed,
+    "SELECT member_state_id AS member_state_code, member_state_name, is_eu, is_aggregate FROM member_states",
+    "member_states",
+)
+
+
+def _scenarios(s, d):
+    """Scenario documents written as JSON, one per part; small parts expect no tracks, some have no list at all."""
+    key = F.col("p_partkey").cast("string")
+    docs = t.table(s, d, "part").select(
+        F.concat_ws("/", "p_brand", key).alias("scenario_id"),
+        F.col("p_size").alias("expected_score_min"),
+        F.when(F.col("p_size") > 10, F.array(key, F.concat(key, F.lit("b")))).when(F.col("p_size") > 5, F.array().cast("array<string>"))
+        .alias("track_ids"),
+    )
+    path = new_path(s, "scenarios")
+    docs.write.json(path)
+    # written by Spark, so one document per line; deliveries of one document per file use readers.read_scenarios
+    return readers.explode_scenarios(s.read.schema(readers.SCENARIO_DOCUMENT).json(path))
+
+
+register(
+    "src_scenario_json", _scenarios,
+    "SELECT p_brand || '/' || p_partkey AS scenario_id, unnest([CAST(p_partkey AS VARCHAR), p_partkey || 'b']) AS track_id, "
+    "p_size AS expected_min_score FROM part WHERE p_size > 10",
+)
+_HEADER = ("small", "ring", "of gold")
+register(
+    "ingest_schema_contract",
+    # words of a part's name as the delivered header
+    lambda s, d: ingest.header_drift(
+        t.table(s, d, "part").select(F.col("p_partkey").alias("source"), F.split("p_name", " ").alias("header")), _HEADER
+    ),
+    "SELECT source, position, got, want FROM (SELECT p_partkey AS source, unnest([0, 1, 2]) AS position, "
+    "unnest([string_split(p_name, ' ')[1], string_split(p_name, ' ')[2], string_split(p_name, ' ')[3]]) AS got, "
+    "unnest(['small', 'ring', 'of gold']) AS want FROM part) WHERE got IS DISTINCT FROM want",
+)
+
+
+def _cells(s, d):
+    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
+    orders = t.table(s, d, "orders").select(
+        "o_orderkey",
+        F.when(status == "F", " N/A\t").when(priority == "5-LOW", "").when(priority == "2-HIGH", "Na").otherwise(
+            F.concat(F.lit(" "), priority, F.lit(" "))
+        ).alias("cell"),
+        F.when(status == "P", F.col("o_orderdate") + F.expr("INTERVAL '10:30' HOUR TO MINUTE")).otherwise(F.col("o_orderdate")).alias("at"),
+    )
+    return ingest.normalise_cells(orders)
+
+
+register(
+    "ingest_norm_cells", _cells,
+    "SELECT o_orderkey, CASE WHEN o_orderstatus <> 'F' AND o_orderpriority NOT IN ('5-LOW', '2-HIGH') THEN ' ' || "
+    "o_orderpriority || ' ' END AS cell, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || CASE WHEN o_orderstatus = 'P' THEN "
+    "'T10:30:00' ELSE '' END AS \"at\" FROM orders",
+)
+
+
+def _sparse(s, d):
+    """Orders as sheet rows whose cells are mostly blank."""
+    blank = F.when(F.col("o_orderstatus") == "F", F.col("o_orderpriority"))
+    rows = t.table(s, d, "orders").select(
+        blank.alias("a"),
+        F.when(F.col("o_totalprice") > 250000, F.col("o_orderstatus")).alias("b"),
+        F.col("o_orderkey").alias("source_row_index"),
+    )
+    return ingest.drop_empty_rows(ingest.normalise_cells(rows))
+
+
+register(
+    "ingest_drop_empty_rows", _sparse,
+    "SELECT CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS a, CASE WHEN o_totalprice > 250000 THEN "
+    "o_orderstatus END AS b, o_orderkey AS source_row_index FROM orders WHERE o_orderstatus = 'F' OR o_totalprice > 250000",
+)
+register(
+    "ingest_provenance",
+    lambda s, d: ingest.stamp_provenance(
+        t.table(s, d, "documents").select("text", "doc_id", "source"),
+        F.col("source"), F.lit("annual_2025"), F.lit("9_qualitative"), F.col("doc_id"), F.sha2("text", 256),
+    ).drop("doc_id", "source"),
+    "SELECT text, source AS source_product, 'annual_2025' AS source_period, '9_qualitative' AS source_sheet, doc_id + 2 AS "
+    "source_row_index, sha256(text) AS source_sha256 FROM documents",
+)
+register(
+    "ingest_typed_by_prefix",
+    lambda s, d: ingest.typed_by_prefix(
+        t.table(s, d, "orders").selectExpr(
+            "cast(o_orderkey as string) source_row_index", "cast(o_totalprice as string) n_total",
+            "o_orderpriority median_priority", "o_custkey ctx_n_total", "cast(o_custkey as string) value", "o_orderstatus scope",
+        ),
+        "automated_means",
+    ),
+    "SELECT o_orderkey AS source_row_index, o_totalprice AS n_total, TRY_CAST(o_orderpriority AS DOUBLE) AS "
+    "median_priority, CAST(o_custkey AS VARCHAR) AS ctx_n_total, CAST(o_custkey AS DOUBLE) AS value, o_orderstatus AS scope "
+    "FROM orders",
+    rounded="n_total median_priority value",
+)
+
+
+def _play_rows(s, d):
+    """Line items under play-event names; about half of them break a rule."""
+    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
+    return t.table(s, d, "lineitem").select(
+        F.format_string("s_%010d", F.col("l_orderkey")).alias("stream_id"),
+        F.when(flag == "R", F.format_string("u_%07d", F.col("l_suppkey"))).otherwise(F.format_string("u_%08d", F.col("l_suppkey"))).alias("user_id"),
+        F.format_string("t_%08d", F.col("l_partkey")).alias("track_id"),
+        F.col("l_shipdate").alias("ts"),
+        F.when(status == "O", "DE").when(F.col("l_quantity") > 25, "D").otherwise("FR").alias("country"),
+        F.when(F.col("l_linenumber") == 7, "radio").otherwise("web").alias("device"),
+        (F.col("l_quantity") - 3).cast("bigint").alias("ms_played"),
+        F.when(F.col("l_linenumber") != 6, F.concat(F.lit("se_"), F.substring(F.md5(F.col("l_orderkey").cast("string")), 1, 12))).alias("session_id"),
+    )
+
+
+register(
+    "ingest_row_constraints",
+    lambda s, d: ingest.violations(_play_rows(s, d), "streams").select("stream_id", "track_id", "violations"),
+    "SELECT 's_' || lpad(CAST(l_orderkey AS VARCHAR), 10, '0') AS stream_id, 't_' || lpad(CAST(l_partkey AS VARCHAR), 8, "
+    "'0') AS track_id, concat_ws(',', CASE WHEN l_returnflag = 'R' THEN 'user_id' END, CASE WHEN l_linestatus <> 'O' AND "
+    "l_quantity > 25 THEN 'country' END, CASE WHEN l_linenumber = 7 THEN 'device' END, CASE WHEN l_quantity < 3 THEN "
+    "'ms_played' END, CASE WHEN l_linenumber = 6 THEN 'session_id' END) AS violations FROM lineitem",
+)
+
+
+def _changed(s, d):
+    """Documents as files; the manifest misses one source and has an old hash for French ones."""
+    docs = t.table(s, d, "documents")
+    path = F.concat(F.lit("f/"), F.col("doc_id").cast("string"))
+    files = docs.select(path.alias("path"), F.col("text").cast("binary").alias("content"))
+    manifest = docs.filter("source <> 'src0'").select(
+        path.alias("path"), F.when(F.col("lang") == "fr", "old").otherwise(F.sha2("text", 256)).alias("sha256")
+    )
+    return ingest.changed_files(files, manifest)
+
+
+register(
+    "ingest_changed_files", _changed,
+    "SELECT 'f/' || doc_id AS path, sha256(text) AS sha256, CASE WHEN source = 'src0' THEN NULL WHEN lang = 'fr' THEN 'old' "
+    "ELSE sha256(text) END AS previous_sha256, source = 'src0' OR lang = 'fr' AS changed FROM documents",
+)
+
+
+def _reloaded(s, d):
+    """A table partitioned by status, loaded twice: the second load only replaces the partition it brings."""
+    orders = t.table(s, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
+    path = new_path(s, "reload")
+    parts = {v: orders.filter(F.col("o_orderstatus") == v) for v in ("F", "O", "P")}
+    sinks.truncate_reload(parts, path, ["o_orderstatus"])
+    sinks.truncate_reload({"P": parts["P"].withColumn("o_custkey", -F.col("o_custkey"))}, path, ["o_orderstatus"])
+    return s.read.schema(orders.schema).parquet(path)
+
+
+register(
+    "sink_truncate_reload", _reloaded,
+    "SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN -o_custkey ELSE o_custkey END AS o_custkey, o_orderpriority, "
+    "o_orderstatus FROM orders",
+)
+
+
+def _sorted(s, d):
+    """Written in order and read back: every file with its range must not overlap the next one's."""
+    path = new_path(s, "sorted")
+    events = t.table(s, d, "events").select("ts", "event_id", F.array("event_type", "props").alias("tags"))
+    sinks.write_sorted(events, path)
+    return s.read.parquet(path)
+
+
+register(
+    "sink_sorted_parquet", _sorted,
+    "SELECT ts, event_id, '[\"' || event_type || '\",\"' || replace(props, '\"', '\\\"') || '\"]' AS tags FROM events",
+    times="ts",
+)
+
+
+def _appended(s, d):
+    path = new_path(s, "audit")
+    log = t.requests(s, d)
+    for endpoint in ("/schema", "/dsa/categories"):
+        sinks.append_rows(log.filter(F.col("endpoint") == endpoint), path)
+    sinks.append_rows(log.filter(~F.col("endpoint").isin("/schema", "/dsa/categories")), path)
+    return s.read.schema(log.schema).parquet(path)
+
+
+register("sink_append_audit", _appended, "SELECT * FROM requests", "requests", times="requested_at")

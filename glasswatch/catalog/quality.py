@@ -1 +1,153 @@
+"""Data-quality checks, the publish gate and row history."""
 
+from pyspark.sql import functions as F
+
+from glasswatch.catalog import tables as t
+from glasswatch.catalog import transparency as trc
+from glasswatch.catalog.registry import register
+from glasswatch.operators import history, quality
+from glasswatch.plans.publish import count_failures, publish
+from glasswatch.session import new_path
+
+_ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+register(
+    "dq_not_null",
+    # priorities count as missing where they are not specified, so that something fails
+    lambda s, d: quality.not_null(
+        t.table(s, d, "orders").withColumn("o_orderpriority", F.nullif("o_orderpriority", F.lit("4-NOT SPECIFIED"))),
+        _ORDER_COLUMNS,
+    ),
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS n_failures FROM orders" for c in _ORDER_COLUMNS[:3]
+    )
+    + " UNION ALL SELECT 'o_orderpriority', count(*) FILTER (o_orderpriority = '4-NOT SPECIFIED') FROM orders",
+)
+register(
+    "dq_unique", lambda s, d: quality.unique(t.table(s, d, "lineitem"), "l_orderkey"),
+    "SELECT l_orderkey, count(*) AS n_rows FROM lineitem GROUP BY ALL HAVING count(*) > 1",
+)
+register(
+    "dq_accepted_values",
+    lambda s, d: quality.accepted_values(
+        t.table(s, d, "lineitem"), "l_returnflag", ["A", "R"], where=F.col("l_linestatus") == "O"
+    ),
+    "SELECT l_returnflag, count(*) AS n_rows FROM lineitem WHERE l_linestatus = 'O' AND l_returnflag NOT IN ('A', 'R') "
+    "GROUP BY ALL",
+)
+register(
+    "dq_relationships",
+    lambda s, d: quality.relationships(
+        t.table(s, d, "events"), "event_id", t.table(s, d, "customer"), "c_custkey"
+    ),
+    "SELECT DISTINCT event_id AS value FROM events WHERE event_id NOT IN (SELECT c_custkey FROM customer)",
+)
+register(
+    "dq_between",
+    lambda s, d: quality.between(t.table(s, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity"), "l_quantity", 5, 45),
+    "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity NOT BETWEEN 5 AND 45",
+    rounded="l_quantity",
+)
+register(
+    "dq_categories_consistent", lambda s, d: quality.categories_consistent(t.decisions(s, d), t.categories_dim(s, d)),
+    "SELECT DISTINCT category_code FROM decisions WHERE category_code NOT IN (SELECT category_code FROM categories_dim "
+    "WHERE category_code IS NOT NULL)",
+    "decisions", "categories_dim",
+)
+
+
+def _continuity(s, d):
+    summary = t.summary(s, d)
+    # one product lacks a year, and one period is turned round
+    gap = summary.filter(~((F.col("product_line") == "BUILDING") & (F.col("reporting_period_canonical") == "annual_2000")))
+    periods = trc.periods_dim(s, d).withColumn(
+        "reporting_period_end",
+        F.when(F.col("calendar_year") == 1998, F.lit("1997-12-31").cast("date")).otherwise(F.col("reporting_period_end")),
+    )
+    return quality.period_continuity(gap, periods)
+
+
+register(
+    "dq_period_continuity", _continuity,
+    "SELECT 'period_set_mismatch' AS failure_kind, CAST(count(DISTINCT p) AS VARCHAR) AS detail FROM (SELECT product_line, "
+    "string_agg(reporting_period_canonical, ',' ORDER BY reporting_period_canonical) AS p FROM summary WHERE NOT "
+    "(product_line = 'BUILDING' AND reporting_period_canonical = 'annual_2000') GROUP BY product_line) "
+    "HAVING count(DISTINCT p) > 1 UNION ALL SELECT 'invalid_period', reporting_period_canonical FROM periods WHERE "
+    "reporting_period_canonical = 'annual_1998' OR reporting_period_start >= reporting_period_end",
+    "summary", "periods",
+)
+register(
+    "dq_fraud_caught", lambda s, d: quality.fraud_caught(
+        t.expectations(s, d).withColumn("expected_min_score", F.col("expected_min_score") + 99), t.flags(s, d)
+    ),
+    "SELECT *, 'fraud not caught: best score is below the expected minimum' AS failure_reason FROM (SELECT scenario_id, "
+    "min(expected_min_score) + 99 AS expected_min_score, count(DISTINCT track_id) AS expected_track_count, max(score) AS "
+    "actual_max_score, count(DISTINCT track_id) FILTER (score >= e.expected_min_score + 99) AS "
+    "tracks_at_or_above_threshold FROM scenario_scores e GROUP BY scenario_id) WHERE actual_max_score < expected_min_score",
+    "scenario_scores", rounded="actual_max_score",
+)
+
+
+def _checks(low, high):
+    return {
+        "track_id_not_null": lambda df: df.filter("track_id is null"),
+        "track_id_unique": lambda df: quality.unique(df, "track_id"),
+        "score_in_range": lambda df: quality.between(df, "composite_suspicion_score", low, high),
+        "known_action": lambda df: df.filter(
+            ~F.col("recommended_action").isin("recommend_remove", "recommend_rank_lower", "no_action")
+        ),
+    }
+
+
+register(
+    "dq_flag_checks", lambda s, d: count_failures(t.flags(s, d), _checks(0, 30)),
+    "SELECT 'track_id_not_null' AS check_name, count(*) FILTER (track_id IS NULL) AS n_failures FROM flags UNION ALL "
+    "SELECT 'track_id_unique', count(*) - count(DISTINCT track_id) FROM flags UNION ALL SELECT 'score_in_range', "
+    "count(*) FILTER (composite_suspicion_score NOT BETWEEN 0 AND 30) FROM flags UNION ALL SELECT 'known_action', 0",
+    "flags",
+)
+
+
+def _gate(s, d):
+    """The flags as readers see them: the good table was published, one that fails a check did not replace it."""
+    flags, path = t.flags(s, d), new_path(s, "published")
+    # thresholds are so low here that a geo signal may fire with a negative severity
+    first = publish(flags, path, _checks(-1000, 100))
+    second = publish(flags.filter("n_signals_fired > 0"), path, _checks(0, 0))
+    if not first.published or second.published:
+        raise RuntimeError(f"gate let the wrong table through: {first}, {second}")
+    return s.read.parquet(path).select("track_id", "n_signals_fired", "recommended_action")
+
+
+register(
+    "dq_publish_gate", _gate, "SELECT track_id, n_signals_fired, recommended_action FROM flags", "flags"
+)
+
+_TRACKED = ["total_decisions", "automated_decisions"]
+_KEYS = ["product_line", "reporting_period_canonical", "category_code"]
+
+
+def _history(s, d):
+    """Two deliveries of the decisions: in the second, URGENT is gone, LOW has changed and TOTAL is new."""
+    rows = t.decisions(s, d).select(*_KEYS, *_TRACKED)
+    first = rows.filter(F.col("category_code") != "TOTAL")
+    second = rows.filter(F.col("category_code") != "1-URGENT").withColumn(
+        "total_decisions", F.col("total_decisions") + F.when(F.col("category_code") == "5-LOW", 1).otherwise(0)
+    )
+
+    def at(day):
+        return F.to_timestamp_ntz(F.lit(f"{day} 00:00:00"))
+
+    opened = history.first_snapshot(first, _TRACKED, at("2026-01-01"))
+    return history.apply_snapshot(opened, second, _KEYS, _TRACKED, at("2026-02-01")).drop("row_hash")
+
+
+_JAN, _FEB = "TIMESTAMP '2026-01-01 00:00:00'", "TIMESTAMP '2026-02-01 00:00:00'"
+_BASE = "product_line, reporting_period_canonical, category_code"
+register(
+    "snap_scd2", _history,
+    f"SELECT {_BASE}, total_decisions, automated_decisions, {_JAN} AS valid_from, CASE WHEN category_code IN ('1-URGENT', "
+    f"'5-LOW') THEN {_FEB} END AS valid_to, category_code NOT IN ('1-URGENT', '5-LOW') AS is_current FROM decisions WHERE "
+    f"category_code <> 'TOTAL' UNION ALL SELECT {_BASE}, total_decisions + CASE WHEN category_code = '5-LOW' THEN 1 ELSE 0 "
+    f"END, automated_decisions, {_FEB}, NULL, true FROM decisions WHERE category_code IN ('5-LOW', 'TOTAL')",
+    "decisions", times="valid_from valid_to",
+)

@@ -1 +1,51 @@
+"""Streaming jobs over the request log, run to the end of what is there."""
 
+from glasswatch.catalog import tables as t
+from glasswatch.catalog.registry import register
+from glasswatch.config import RateLimit
+from glasswatch.operators.staging import stage_table
+from glasswatch.schemas import BRONZE
+from glasswatch.session import new_path
+from glasswatch.streaming import requests as rq
+
+
+def _log_files(s, d):
+    """The request log as files in a folder, each request written twice."""
+    path = new_path(s, "requests")
+    log = t.raw_requests(s, d)
+    log.unionByName(log).select(*BRONZE["researcher_queries"].names).write.parquet(path)
+    return path
+
+
+def _audited(s, d):
+    raw = rq.read_files(s, _log_files(s, d), BRONZE["researcher_queries"])
+    out = new_path(s, "audit_stream")
+    rq.append_to(rq.audit_rows(raw), out, new_path(s, "audit_checkpoint")).awaitTermination()
+    return s.read.parquet(out).select("query_id", "key_id", "requested_at", "outcome_class")
+
+
+register(
+    "stream_audit_ingest", _audited,
+    "SELECT query_id, key_id, requested_at, CASE WHEN response_status_code BETWEEN 200 AND 299 THEN 'success' WHEN "
+    "response_status_code = 429 THEN 'rate_limited' WHEN response_status_code BETWEEN 400 AND 499 THEN 'client_error' "
+    "WHEN response_status_code BETWEEN 500 AND 599 THEN 'server_error' ELSE 'other' END AS outcome_class FROM requests",
+    "requests", times="requested_at",
+)
+_LIMIT = RateLimit(requests=4)
+
+
+def _windows(s, d):
+    raw = rq.read_files(s, _log_files(s, d), BRONZE["researcher_queries"])
+    log = stage_table(raw, "researcher_queries")
+    out = new_path(s, "rate_stream")
+    rq.latest_windows_to(rq.rate_windows(log, _LIMIT), out, new_path(s, "rate_checkpoint")).awaitTermination()
+    return rq.read_latest_windows(s, out, _LIMIT)
+
+
+register(
+    "stream_rate_window", _windows,
+    "SELECT key_id, w AS window_start, w + INTERVAL 15 MINUTE AS window_end, 2 * count(*) AS n, 2 * count(*) >= 4 AS "
+    "over_limit FROM (SELECT key_id, date_trunc('minute', requested_at) - to_minutes(CAST(m AS BIGINT)) AS w FROM requests, "
+    "range(15) r(m)) GROUP BY ALL",
+    "requests", times="window_start window_end",
+)

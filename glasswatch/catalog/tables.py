@@ -323,7 +323,7 @@ def raw_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = _placed(spark, sf_dir).select("product", "category").distinct()
     number = F.substring("category", 1, 1)
     labels = F.array(
-        F.struct(F.concat(F.lit("Category "), number).alias("label"), F.col("category").alias("code")),
+        F.struct(F.concat(F.lit("Category "), number).alias("label"), F.nullif("category", F.lit("4-NOT SPECIFIED")).alias("code")),
         F.struct(
             F.concat(F.lit("Category "), number, F.lit(" in "), F.col("product")).alias("label"),
             F.when(F.col("category") != "5-LOW", F.lit("KEYWORD_OTHER")).alias("code"),
@@ -524,7 +524,7 @@ cte(
 cte(
     "categories",
     "SELECT DISTINCT product, category, unnest(['Category ' || category[1], 'Category ' || category[1] || ' in ' || "
-    "product, 'TOTAL']) AS label, unnest([category, CASE WHEN category <> '5-LOW' THEN 'KEYWORD_OTHER' END, 'TOTAL']) "
+    "product, 'TOTAL']) AS label, unnest([nullif(category, '4-NOT SPECIFIED'), CASE WHEN category <> '5-LOW' THEN 'KEYWORD_OTHER' END, 'TOTAL']) "
     "AS code FROM placed",
     "placed",
 )

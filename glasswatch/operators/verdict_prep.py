@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -74,14 +76,14 @@ def scenario_evidence(
             F.coalesce(F.col("release_date").cast("string"), F.lit("None")).alias("release_date"),
             F.coalesce(F.col("_total"), F.lit(0)).alias("total_streams"),
             F.coalesce(F.nullif(F.col("_top").cast("string"), F.lit("")), F.lit("unknown")).alias("top_country"),
-            text_or(share, F.format_string("%.1f", 100 * share), "n/a").alias("top_country_share_pct"),
+            text_or(share, F.format_string("%.1f", F.bround(100 * share, 1)), "n/a").alias("top_country_share_pct"),
             *[f"{s}_{part}" for s in SIGNAL_COLUMNS for part in ("fires", "severity")],
             zero_if_null("spike_ratio").alias("spike_ratio"),
             zero_if_null("top_country_share").alias("top_country_share"),
             zero_if_null("streams_per_listener").alias("streams_per_listener"),
             zero_if_null("hhi_value").alias("hhi_value"),
             text_or(
-                F.col("session_ai_share"), F.format_string("%.2f", F.col("session_ai_share")), "n/a"
+                F.col("session_ai_share"), F.format_string("%.2f", F.bround("session_ai_share", 2)), "n/a"
             ).alias("session_ai_share"),
             "composite_suspicion_score",
             F.col("recommended_action").alias("heuristic_action"),
@@ -112,9 +114,23 @@ PROMPT_LINES: tuple[tuple[str, tuple[str, ...]], ...] = (
 )
 
 
+_SPEC = re.compile(r"%(?:\.\d)?[sdf]")
+
+
 def render_prompt(evidence: DataFrame, lines: tuple[tuple[str, tuple[str, ...]], ...] = PROMPT_LINES) -> DataFrame:
     """Add the prompt text and its SHA-256."""
-    rendered = [F.format_string(fmt, *cols) if cols else F.lit(fmt) for fmt, cols in lines]
+
+    def shown(spec: str, column: str) -> Column:
+        # an exact half goes to the even digit, while the formatter alone would go up
+        digits = re.fullmatch(r"%\.(\d)f", spec)
+        return F.bround(column, int(digits[1])) if digits else F.col(column)
+
+    rendered = [
+        F.format_string(fmt, *[shown(spec, c) for spec, c in zip(_SPEC.findall(fmt), cols, strict=True)])
+        if cols
+        else F.lit(fmt)
+        for fmt, cols in lines
+    ]
     return evidence.withColumn("prompt", F.concat_ws("\n", *rendered)).withColumn(
         "prompt_hash", F.sha2("prompt", 256)
     )
