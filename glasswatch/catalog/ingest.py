@@ -158,10 +158,14 @@ register(
 def _play_rows(s, d):
     """Line items under play-event names; about half of them break a rule."""
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
+
+    def numbered(prefix, column, width):
+        return F.concat(F.lit(prefix), F.lpad(F.col(column).cast("string"), width, "0"))
+
     return t.table(s, d, "lineitem").select(
-        F.format_string("s_%010d", F.col("l_orderkey")).alias("stream_id"),
-        F.when(flag == "R", F.format_string("u_%07d", F.col("l_suppkey"))).otherwise(F.format_string("u_%08d", F.col("l_suppkey"))).alias("user_id"),
-        F.format_string("t_%08d", F.col("l_partkey")).alias("track_id"),
+        numbered("s_", "l_orderkey", 10).alias("stream_id"),
+        F.when(flag == "R", numbered("u_", "l_suppkey", 7)).otherwise(numbered("u_", "l_suppkey", 8)).alias("user_id"),
+        numbered("t_", "l_partkey", 8).alias("track_id"),
         F.col("l_shipdate").alias("ts"),
         F.when(status == "O", "DE").when(F.col("l_quantity") > 25, "D").otherwise("FR").alias("country"),
         F.when(F.col("l_linenumber") == 7, "radio").otherwise("web").alias("device"),

@@ -149,7 +149,7 @@ register(
 )
 register(
     "serve_home_stats",
-    lambda s, d: serving.home_stats(t.raw_notices(s, d), t.staged_verdicts(s, d)),
+    lambda s, d: serving.home_stats(t.staged(s, d, "notices"), t.staged_verdicts(s, d)),
     "SELECT (SELECT count(*) FROM notices) AS n_notice_rows, count(*) AS n_verdicts, count(*) FILTER (status = 'ok') AS "
     "n_verdicts_ok FROM verdicts",
     "notices", "verdicts",

@@ -126,6 +126,6 @@ register(
     _ALL + "sig_stuffing", "sig_stuffing", rounded="session_ai_share severity",
 )
 register(
-    "fct_artificial_streaming_flags", t.flags, "SELECT * FROM flags", "flags",
+    "fct_artificial_streaming_flags", t.computed_flags, "SELECT * FROM flags", "flags",
     rounded="composite_suspicion_score " + " ".join(f"{n}_severity" for n in _NAMES), times="built_at",
 )

@@ -140,60 +140,73 @@ def verdict_id(provider: Column, prompt_hash: Column) -> Column:
     return sha256_prefix(F.concat(provider, F.lit(":"), prompt_hash), "v_")
 
 
+# fixed values: keys of a model's answer and their types
+_ANSWER_KEYS = {
+    "recommendation": "string",
+    "confidence": "double",
+    "primary_signal": "string",
+    "reasoning": "string",
+    "uncertainty_flags": "array<string>",
+}
+
+
 def parse_responses(responses: DataFrame, cfg: VerdictConfig = VerdictConfig()) -> DataFrame:
     """Read the JSON answer in ``response_text`` and judge it.
 
     Text that is no JSON object, a value outside its enumeration or range, or a value of the wrong type makes the row
     ``malformed_response`` with an empty body. A key that is not there is NULL and does no harm.
     """
-    body = strip_fence(F.col("response_text"))
+    # Each step names what later ones use several times, so it is worked out once per row.
     # The parser stops after the first value. A marker behind the answer is only found if nothing else was there.
-    marker = F.sha2(body, 256)
-    framed = F.try_parse_json(F.concat(F.lit("["), body, F.lit(',"'), marker, F.lit('"]')))
-    v = F.col("_doc")
+    framed = F.try_parse_json(F.concat(F.lit("["), F.col("_body"), F.lit(',"'), F.col("_marker"), F.lit('"]')))
+    parsed = (
+        responses.withColumn("_body", strip_fence(F.col("response_text")))
+        .withColumn("_marker", F.sha2("_body", 256))
+        .withColumn("_doc", framed)
+    )
 
     def field(name: str, kind: str) -> Column:
-        return F.try_variant_get(v, f"$[0].{name}", kind)
+        return F.try_variant_get("_doc", f"$[0].{name}", kind)
+
+    fields = parsed.select(
+        *responses.columns,
+        (F.try_variant_get("_doc", "$[1]", "string") == F.col("_marker")).alias("_whole"),
+        F.schema_of_variant(F.try_variant_get("_doc", "$[0]", "variant")).alias("_shape"),
+        *[field(n, "variant").alias(f"_raw_{n}") for n in _ANSWER_KEYS],
+        *[field(n, kind).alias(f"_{n}") for n, kind in _ANSWER_KEYS.items()],
+    )
 
-    def present(name: str) -> Column:
-        # a JSON null is as good as absent
-        value = field(name, "variant")
-        return value.isNotNull() & ~F.is_variant_null(value)
+    def absent(name: str) -> Column:
+        # a JSON null is as good as no key
+        raw = F.col(f"_raw_{name}")
+        return raw.isNull() | F.is_variant_null(raw)
 
-    def allowed(name: str, values: tuple[str, ...]) -> Column:
-        return ~present(name) | F.coalesce(field(name, "string").isin(*values), F.lit(False))
+    def valid(name: str, condition: Column) -> Column:
+        return absent(name) | F.coalesce(condition, F.lit(False))
 
-    confidence = field("confidence", "double")
-    whole = F.try_variant_get(v, "$[1]", "string") == F.col("_marker")
-    is_object = F.schema_of_variant(F.try_variant_get(v, "$[0]", "variant")).startswith("OBJECT")
-    doubts = field("uncertainty_flags", "array<string>")
-    texts_only = F.schema_of_variant(field("uncertainty_flags", "variant")).isin("ARRAY<STRING>", "ARRAY<VOID>")
+    # looking for anything in a list that holds a NULL gives NULL
+    no_gaps = F.array_contains("_uncertainty_flags", F.lit("")).isNotNull()
+    texts = F.schema_of_variant("_raw_uncertainty_flags").isin("ARRAY<STRING>", "ARRAY<VOID>")
     good = (
-        F.coalesce(whole & is_object, F.lit(False))
-        & allowed("recommendation", cfg.recommendations)
-        & allowed("primary_signal", cfg.primary_signals)
-        & (~present("confidence") | F.coalesce(confidence.between(0.0, 1.0), F.lit(False)))
-        & (
-            ~present("uncertainty_flags")
-            | F.coalesce(texts_only & F.forall(doubts, lambda text: text.isNotNull()), F.lit(False))
-        )
+        F.coalesce(F.col("_whole") & F.col("_shape").startswith("OBJECT"), F.lit(False))
+        & valid("recommendation", F.col("_recommendation").isin(*cfg.recommendations))
+        & valid("primary_signal", F.col("_primary_signal").isin(*cfg.primary_signals))
+        & valid("confidence", F.col("_confidence").between(0.0, 1.0))
+        & valid("uncertainty_flags", texts & no_gaps)
     )
-    judged = responses.withColumns({"_doc": framed, "_marker": marker}).withColumn("_good", good)
+    judged = fields.withColumn("_good", good)
 
     def if_good(c: Column) -> Column:
         return F.when(F.col("_good"), c)
 
+    reasoning = F.substring(F.coalesce(F.col("_reasoning"), F.lit("")), 1, cfg.max_reasoning_chars)
     return judged.select(
         *responses.columns,
-        if_good(field("recommendation", "string")).alias("recommendation"),
-        if_good(confidence).alias("confidence"),
-        if_good(field("primary_signal", "string")).alias("primary_signal"),
-        if_good(
-            F.substring(F.coalesce(field("reasoning", "string"), F.lit("")), 1, cfg.max_reasoning_chars)
-        ).alias("reasoning"),
-        F.coalesce(if_good(doubts), F.array().cast("array<string>")).alias(
-            "uncertainty_flags"
-        ),
+        if_good(F.col("_recommendation")).alias("recommendation"),
+        if_good(F.col("_confidence")).alias("confidence"),
+        if_good(F.col("_primary_signal")).alias("primary_signal"),
+        if_good(reasoning).alias("reasoning"),
+        F.coalesce(if_good(F.col("_uncertainty_flags")), F.array().cast("array<string>")).alias("uncertainty_flags"),
         F.sha2("response_text", 256).alias("response_hash"),
         F.when(F.col("_good"), "ok").otherwise("malformed_response").alias("status"),
     )
