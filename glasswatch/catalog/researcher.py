@@ -170,7 +170,7 @@ register(
 register(
     "serve_posture_gap", lambda s, d: serving.posture_gap(tr.automated_vs_human(t.summary(s, d))),
     "SELECT product_line, reporting_period_canonical, "
-    f"{round_sql('coalesce(automated_accuracy_pct, 0) - coalesce(automated_recall_pct, 0)', 1)} AS accuracy_over_recall_pp "
+    "round(coalesce(automated_accuracy_pct, 0) - coalesce(automated_recall_pct, 0), 1) AS accuracy_over_recall_pp "
     "FROM posture",
     "posture", rounded="accuracy_over_recall_pp",
 )

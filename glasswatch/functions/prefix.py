@@ -1,8 +1,8 @@
 """Running totals and exact quantiles without putting a whole group into one task.
 
 A plain ``sum().over(partitionBy(key).orderBy(t))`` sorts all rows of a key in one task. Here the order axis is cut
-into slots. Totals per slot are small and can be summed per key; the running sum over single rows then only spans one
-(key, slot). A key holding a third of all rows is thus spread over its slots.
+into slots. Totals per slot are few and can be summed per key; the running sum over single rows then only spans one
+(key, slot). A key holding a third of all rows is thus spread over its slots, and rows are shuffled once.
 """
 
 from __future__ import annotations
@@ -12,14 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Equi-join on the keys in which NULL equals NULL; the keys are kept from the left side."""
-    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & left[k].eqNullSafe(renamed[f"_r_{k}"])
-    return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
+from glasswatch.functions.joins import join_null_safe
 
 
 def running_total(
@@ -31,17 +24,19 @@ def running_total(
     """
     slotted = df.withColumn("_slot", slot)
     earlier = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    totals = (
+    # what came before a slot enters it as one more row, ahead of all others: its order is NULL
+    carried = (
         slotted.groupBy(*keys, "_slot")
         .agg(F.sum(value).alias("_total"))
-        .select(*keys, "_slot", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"))
+        .select(*keys, "_slot", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias(value), F.lit(True).alias("_carried"))
     )
     upto = Window.partitionBy(*keys, "_slot").orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    within = slotted.withColumn("_within", F.sum(value).over(upto))
     return (
-        join_null_safe(within, totals, [*keys, "_slot"], "left")
-        .withColumn(out, F.col("_before") + F.col("_within"))
-        .drop("_slot", "_before", "_within")
+        slotted.withColumn("_carried", F.lit(False))
+        .unionByName(carried, allowMissingColumns=True)
+        .withColumn(out, F.sum(value).over(upto))
+        .filter(~F.col("_carried"))
+        .drop("_slot", "_carried")
     )
 
 

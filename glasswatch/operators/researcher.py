@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from glasswatch.config import RateLimit
 from glasswatch.functions.expressions import ladder, sum_when
-from glasswatch.functions.prefix import join_null_safe, running_total
+from glasswatch.functions.joins import join_null_safe, spread_join
+from glasswatch.functions.prefix import running_total
 
 
 def outcome_class(code: Column) -> Column:
@@ -106,7 +107,7 @@ def key_check(requests: DataFrame, keys: DataFrame) -> DataFrame:
     )
     status = F.col("key_status")
     return (
-        requests.join(known, "key_id", "left")
+        spread_join(requests, known, ["key_id"], "left")
         .withColumn(
             "decision",
             ladder(

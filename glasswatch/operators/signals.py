@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from glasswatch.config import SignalConfig
 from glasswatch.functions.expressions import count_when, flag, ladder, safe_ratio
+from glasswatch.functions.joins import spread_join
 
 
 def _rows() -> Column:
@@ -220,21 +221,20 @@ def playlist_stuffing(streams: DataFrame, tracks: DataFrame, cfg: SignalConfig =
     labels = tracks.groupBy("track_id").agg(
         F.max(flag(F.col("ai_generated_label"))).alias("ai")
     ).filter(F.col("track_id").isNotNull())
-    # distinct pairs first: a track looped in one session, or a huge number of plays of one track, shrink to one row
-    pairs = streams.select("session_id", "track_id").distinct()
+    # Distinct pairs first: a track looped in one session, or a huge number of plays of one track, shrink to one row.
+    # Both joins below drop NULLs; saying so here keeps the pairs the same for both, so they are shuffled once.
+    pairs = streams.select("session_id", "track_id").filter("session_id is not null and track_id is not null").distinct()
     share = F.try_divide(F.col("ai_tracks").cast("double"), F.col("distinct_tracks"))
     stuffed = (
-        pairs.join(labels, "track_id")
+        spread_join(pairs, labels, ["track_id"], spread_by=["session_id"])
         .groupBy("session_id")
         .agg(_rows().alias("distinct_tracks"), F.sum("ai").alias("ai_tracks"))
         .withColumn("ai_share", share)
         .filter((F.col("distinct_tracks") >= cfg.stuffing_min_tracks) & (F.col("ai_share") >= cfg.stuffing_ai_share))
     )
-    # max() does not mind repeated pairs, so the way back takes the plays as they are; the final semi join keeps
-    # known tracks only
+    # unknown tracks come along on the way back and are dropped at the end, when there is one row per track
     return (
-        streams.select("session_id", "track_id")
-        .join(stuffed, "session_id")
+        spread_join(pairs, stuffed, ["session_id"], spread_by=["track_id"])
         .groupBy("track_id")
         .agg(
             F.max("distinct_tracks").alias("session_distinct_tracks"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from glasswatch.config import VerdictConfig
 from glasswatch.functions.expressions import ladder, sha256_prefix, strip_fence, sum_when
+from glasswatch.functions.joins import spread_join
 from glasswatch.functions.prefix import running_total
 from glasswatch.operators.signals import SIGNAL_COLUMNS
 
@@ -231,7 +232,7 @@ def reuse_cached(wanted: DataFrame, cached: DataFrame) -> DataFrame:
     usable = (
         cached.filter(F.col("status") == "ok").groupBy(*_CALL_KEYS).agg(F.min("verdict_id").alias("cached_verdict_id"))
     )
-    return wanted.join(usable, _CALL_KEYS, "left").withColumn("is_cached", F.col("cached_verdict_id").isNotNull())
+    return spread_join(wanted, usable, _CALL_KEYS, "left").withColumn("is_cached", F.col("cached_verdict_id").isNotNull())
 
 
 def work_list(wanted: DataFrame, cached: DataFrame) -> DataFrame:
