@@ -6,6 +6,7 @@ from glasswatch.catalog import tables as t
 from glasswatch.catalog import transparency as trc
 from glasswatch.catalog.registry import register
 from glasswatch.operators import history, quality
+from glasswatch.plans.expectations import EXPECTATIONS, check_table
 from glasswatch.plans.publish import count_failures, publish
 from glasswatch.session import new_path
 
@@ -79,7 +80,7 @@ register(
     "dq_fraud_caught", lambda s, d: quality.fraud_caught(
         t.expectations(s, d).withColumn("expected_min_score", F.col("expected_min_score") + 99), t.flags(s, d)
     ),
-    "SELECT *, 'fraud not caught: best score is below the expected minimum' AS failure_reason FROM (SELECT scenario_id, "
+    "SELECT *, 'fraud not caught — max(composite_score) < expected_min_score' AS failure_reason FROM (SELECT scenario_id, "
     "min(expected_min_score) + 99 AS expected_min_score, count(DISTINCT track_id) AS expected_track_count, max(score) AS "
     "actual_max_score, count(DISTINCT track_id) FILTER (score >= e.expected_min_score + 99) AS "
     "tracks_at_or_above_threshold FROM scenario_scores e GROUP BY scenario_id) WHERE actual_max_score < expected_min_score",
@@ -122,6 +123,19 @@ register(
     "dq_publish_gate", _gate, "SELECT track_id, n_signals_fired, recommended_action FROM flags", "flags"
 )
 
+register(
+    "dq_table_tests",
+    lambda s, d: check_table(t.flags(s, d), EXPECTATIONS["fct_artificial_streaming_flags"]),
+    " UNION ALL ".join(
+        f"SELECT 'not_null:{c}' AS test_name, count(*) FILTER ({c} IS NULL) AS n_failures FROM flags"
+        for c in ("track_id", "composite_suspicion_score", "recommended_action", "n_signals_fired")
+    )
+    + " UNION ALL SELECT 'accepted_values:recommended_action', 0 UNION ALL SELECT 'unique:track_id', 0 UNION ALL "
+    "SELECT 'between:composite_suspicion_score', count(*) FILTER (composite_suspicion_score NOT BETWEEN 0 AND 100) FROM "
+    "flags UNION ALL SELECT 'between:n_signals_fired', 0",
+    "flags",
+)
+
 _TRACKED = ["total_decisions", "automated_decisions"]
 _KEYS = ["product_line", "reporting_period_canonical", "category_code"]
 

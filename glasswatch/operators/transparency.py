@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from glasswatch.functions.expressions import days_inclusive, ladder, pct
@@ -185,6 +185,25 @@ def dim_reporting_periods(aligned: DataFrame, platform: str) -> DataFrame:
     )
 
 
+# fixed values: member states by code, Greece under both its codes, and the row for undivided totals
+EU_MEMBER_STATES = {
+    "AT": "Austria", "BE": "Belgium", "BG": "Bulgaria", "HR": "Croatia", "CY": "Cyprus", "CZ": "Czechia",
+    "DK": "Denmark", "EE": "Estonia", "FI": "Finland", "FR": "France", "DE": "Germany", "GR": "Greece",
+    "EL": "Greece", "HU": "Hungary", "IE": "Ireland", "IT": "Italy", "LV": "Latvia", "LT": "Lithuania",
+    "LU": "Luxembourg", "MT": "Malta", "NL": "Netherlands", "PL": "Poland", "PT": "Portugal", "RO": "Romania",
+    "SK": "Slovakia", "SI": "Slovenia", "ES": "Spain", "SE": "Sweden",
+    "EU_AGGREGATE": "EU Aggregate (no per-state breakdown)",
+}
+
+
+def member_state_seed(spark: SparkSession) -> DataFrame:
+    """The reference list of member states, in the form of the seed file."""
+    rows = [(code, name, True, code == "EU_AGGREGATE") for code, name in EU_MEMBER_STATES.items()]
+    return spark.createDataFrame(
+        rows, "member_state_code string, member_state_name string, is_eu boolean, is_aggregate boolean"
+    )
+
+
 def dim_member_states(seed: DataFrame) -> DataFrame:
     return seed.select(
         _c("member_state_code").alias("member_state_id"), "member_state_name", "is_eu", "is_aggregate"
