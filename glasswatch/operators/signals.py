@@ -232,7 +232,8 @@ def playlist_stuffing(streams: DataFrame, tracks: DataFrame, cfg: SignalConfig =
         .withColumn("ai_share", share)
         .filter((F.col("distinct_tracks") >= cfg.stuffing_min_tracks) & (F.col("ai_share") >= cfg.stuffing_ai_share))
     )
-    # unknown tracks come along on the way back and are dropped at the end, when there is one row per track
+    # Unknown tracks come along on the way back and are dropped at the end, when there is one row per track. Labels have
+    # one row per track too, so an inner join does it; a semi join would be pushed down to the plays.
     return (
         spread_join(pairs, stuffed, ["session_id"], spread_by=["track_id"])
         .groupBy("track_id")
@@ -241,7 +242,7 @@ def playlist_stuffing(streams: DataFrame, tracks: DataFrame, cfg: SignalConfig =
             F.max("ai_tracks").alias("session_ai_tracks"),
             F.max("ai_share").alias("session_ai_share"),
         )
-        .join(labels, "track_id", "left_semi")
+        .join(labels.select("track_id"), "track_id")
         .select(
             "track_id",
             _entity(),
