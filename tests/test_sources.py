@@ -90,6 +90,13 @@ def test_row_rules(spark):
         ingest.forbid_extra(df, ["appeal_id"])
 
 
+def test_sheet_rules(spark):
+    rows = [("main", "p", "s", 2, "h"), ("other", "p", "s", 0, "h"), ("authors", None, "s", 2, None)]
+    df = spark.createDataFrame(rows, "source_product string, source_period string, source_sheet string, source_row_index long, source_sha256 string")
+    got = sorted(r["violations"] for r in ingest.violations(df, "sheet").collect())
+    assert got == [[], ["source_period", "source_sha256"], ["source_product", "source_row_index"]]
+
+
 def test_track_and_verdict_rules(spark):
     track = ("t_00000001", "a_00000001", "x", "SE-ABC-25-00001", 15000, datetime(2025, 1, 1).date(), "d", False)
     df = spark.createDataFrame([track, (*track[:4], 14999, *track[5:]), (*track[:3], "SE-abc-25-00001", *track[4:])], BRONZE["tracks"])
