@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from glasswatch.config import RateLimit, SignalConfig, VerdictConfig
+from glasswatch.functions.joins import spread_join
 from glasswatch.functions.prefix import exact_quantiles, running_total
 from glasswatch.operators import signals as sg
 from glasswatch.operators.researcher import rate_limit_decision
@@ -153,3 +154,31 @@ def test_no_cross_joins_or_single_partitions(spark):
     # the three profiles meet on the partitioning their last aggregate left: no shuffle above the aggregates
     top = plan.split("HashAggregate")[0]
     assert "Exchange" not in top
+
+
+def test_spread_join_keeps_rows_and_can_be_split_at_run_time(spark, rows):
+    big = spark.range(60000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 500).alias("k"), "id"
+    )
+    small = spark.range(400).select(F.col("id").alias("k"), F.lit("x").alias("v")).groupBy("k").agg(F.max("v").alias("v"))
+    expected = rows(big.join(small, "k", "left").groupBy("v").agg(F.count("*"), F.sum("id")))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        # two salts leave the hot key skewed, so that splitting has something to do
+        joined = spread_join(big, small, ["k"], "left", spread_by=["id"], salts=2)
+        counted = joined.groupBy("v").agg(F.count("*"), F.sum("id"))
+        assert rows(counted) == expected
+        assert "skew=true" in _plan(counted)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    with pytest.raises(ValueError, match="power of two"):
+        spread_join(big, small, ["k"], salts=3)
