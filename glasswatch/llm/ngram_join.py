@@ -6,7 +6,7 @@ ones come first, by hash; the listed ones follow, rarest first. The order is cut
 every set falls into segments, and a pair's overlap is the sum of the overlaps counted in each fragment alone.
 
 Candidates come from the first n-grams of each set in that order: with ``n`` members and a threshold of ``t`` percent,
-two linked sets share one of their first ``n - ceil(t n / 100) + 1``. A block is all sets with such an n-gram in
+two linked sets share SHARED of their first ``n - ceil(t n / 100) + SHARED`` (or all that are needed, if fewer). A block is all sets with such an n-gram in
 common. It isn't expanded into pairs. First every set is compared with the block's anchor, the set in which
 the n-gram comes earliest; then only sets of one block that are still in different components are paired. A block of
 near copies thus costs its size, and every link between components is still looked for, so the components are exact.
@@ -34,6 +34,10 @@ from glasswatch.llm.words import FOLDED, U, chunks, mix, ngrams, words_of
 FREQUENT = 1 << 19
 #: Pivots: fragments of the n-grams outside the list by hash, and of the listed ones by rank.
 HASH_FRAGMENTS, RANK_FRAGMENTS = 6, 2
+#: How many of the first n-grams a pair must share.
+SHARED = 4
+#: Bits of the filter by which tasks know the sets to be compared. False hits only cost time.
+FILTER_BITS = 1 << 25
 LISTED = U(1 << 63)
 
 
@@ -164,7 +168,8 @@ def prefixes(docs: DataFrame, size: int, percent: int, order) -> DataFrame:
                     if n[i] and s not in seen:
                         seen.add(s)
                         fresh[i] = True
-                take = np.where(fresh, n - (percent * n + 99) // 100 + 1, 0)
+                least = (percent * n + 99) // 100
+                take = np.where(fresh, n - least + np.minimum(SHARED, least), 0)
                 row = np.repeat(np.arange(len(n)), take)
                 pos = np.arange(len(row)) - np.repeat(np.cumsum(take) - take, take)
                 k = key[offsets[:-1][row] + pos]
@@ -176,20 +181,51 @@ def prefixes(docs: DataFrame, size: int, percent: int, order) -> DataFrame:
     return docs.select("text").mapInArrow(run, "h long, listed boolean, sig long, n int, pos int")
 
 
-def segments(docs: DataFrame, size: int, order) -> DataFrame:
-    """The sets of ``docs``, fragment by fragment: ``sig``, ``fragment``, ``segment`` (the keys that fall into it)."""
+def _places(sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two places of a set in the filter."""
+    h = mix(sig.view(U))
+    return (h % U(FILTER_BITS)).astype(np.int64), ((h >> U(32)) % U(FILTER_BITS)).astype(np.int64)
+
+
+def set_filter(nodes: DataFrame) -> np.ndarray:
+    """A bit set of fixed size that holds every ``sig`` of ``nodes``; bits are joined by an aggregate over its words."""
+
+    def run(batches):
+        for b in batches:
+            at = np.concatenate(_places(b.column(0).to_numpy()))
+            yield pa.RecordBatch.from_arrays([pa.array(at >> 5), pa.array(np.int64(1) << (at & 31))], ["word", "bit"])
+
+    rows = nodes.select("sig").mapInArrow(run, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    words = np.zeros(FILTER_BITS // 32, np.uint32)
+    words[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().astype(np.uint32)
+    return words
+
+
+def segments(docs: DataFrame, size: int, order, wanted) -> DataFrame:
+    """The wanted sets of ``docs``, fragment by fragment: ``sig``, ``fragment``, ``segment`` (the keys that fall into it).
+
+    ``wanted`` is a broadcast filter; texts stay where they are, and a task gives equal sets once.
+    """
 
     def run(batches):
-        o = order.value
+        o, bits, seen = order.value, wanted.value, set()
+        held = lambda at: (bits[at >> 5] >> (at & 31).astype(np.uint32)) & 1
         for b in batches:
             for _, offsets, h in _sets(b.column(0), size):
                 sig = _signature(h, offsets)
-                key = _sorted_keys(h, offsets, o)
-                row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+                x, y = _places(sig)
+                pick = np.flatnonzero((held(x) & held(y)) == 1)
+                pick = np.array([i for i, s in zip(pick, sig[pick].tolist(), strict=True) if not (s in seen or seen.add(s))], np.int64)
+                if not len(pick):
+                    continue
+                n = np.diff(offsets)[pick]
+                row = np.repeat(np.arange(len(pick)), n)
+                h = h[np.repeat(offsets[:-1][pick] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+                key = _sorted_keys(h, np.append(0, np.cumsum(n)), o)
                 frag = o.fragment(key)
                 new = np.flatnonzero(np.concatenate([[len(key) > 0], (row[1:] != row[:-1]) | (frag[1:] != frag[:-1])]))
                 lists = pa.ListArray.from_arrays(pa.array(np.append(new, len(key)).astype(np.int32)), pa.array(key.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(sig[row[new]]), pa.array(frag[new]), lists], ["sig", "fragment", "segment"])
+                yield pa.RecordBatch.from_arrays([pa.array(sig[pick][row[new]]), pa.array(frag[new]), lists], ["sig", "fragment", "segment"])
 
     return docs.select("text").mapInArrow(run, "sig long, fragment int, segment array<long>")
 
@@ -213,8 +249,9 @@ def shared_blocks(tokens: DataFrame) -> DataFrame:
             .filter("lo <> hi").select("h", F.col("first.sig").alias("a"), F.col("first.n").alias("n_a"))
         )
 
-    rare = tokens.filter("not listed").repartition("h")
-    often = tokens.filter("listed")
+    tokens = tokens.select("h", "listed", "sig", "n", "pos")
+    rare = tokens.filter("not listed").drop("listed").repartition("h")
+    often = stored(tokens.filter("listed").drop("listed").distinct(), "frequent")
     return rare.join(sums(rare), "h").unionByName(often.join(F.broadcast(sums(often)), "h"))
 
 
@@ -230,6 +267,27 @@ def links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return total.filter(F.lit(100) * F.col("overlap") >= F.lit(percent) * (F.col("n_a") + F.col("n_b") - F.col("overlap")))
 
 
+def enough_shared(percent: int):
+    """The number of first n-grams that a pair must share."""
+    return F.least(F.lit(SHARED), F.ceil(F.lit(percent) * F.least("n_a", "n_b") / F.lit(100)))
+
+
+def close_pairs(pairs: DataFrame, blocks: DataFrame, percent: int) -> DataFrame:
+    """The pairs that share enough of their first n-grams, all of which lie in blocks."""
+    left = blocks.select(F.col("sig").alias("a"), "h")
+    right = blocks.select(F.col("sig").alias("b"), "h")
+    counts = pairs.join(left, "a").join(right, ["b", "h"]).groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("shared"))
+    return counts.filter(F.col("shared") >= enough_shared(percent)).drop("shared")
+
+
+def compared(docs: DataFrame, pairs: DataFrame, size: int, percent: int, order) -> DataFrame:
+    """The linked ones of stored ``pairs``."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
+    wanted = docs.sparkSession.sparkContext.broadcast(set_filter(nodes))
+    sets = segments(docs, size, order, wanted).groupBy("sig", "fragment").agg(F.first("segment").alias("segment"))
+    return stored(links(pairs, stored(sets, "segments"), percent).select("a", "b"), "links")
+
+
 def ngram_components(docs: DataFrame, size: int = 4, percent: int = 85, frequent: int = FREQUENT) -> DataFrame:
     """Per document: ``doc_id``, ``n_shingles`` (size of its set) and ``component_id``, the smallest reachable ``doc_id``.
 
@@ -244,17 +302,12 @@ def ngram_components(docs: DataFrame, size: int = 4, percent: int = 85, frequent
     order = spark.sparkContext.broadcast(Order(values, bits))
 
     blocks = stored(shared_blocks(prefixes(named, size, percent, order)).distinct(), "blocks")
-    nodes = blocks.select("sig").distinct()
-    members = sizes.filter("doc_id is not null and n > 0").groupBy("sig").agg(F.min("doc_id").alias("doc_id"))
-    needed_docs = members.join(nodes, "sig", "left_semi").select(F.col("doc_id").alias("_doc"))
-    texts = named.join(needed_docs.distinct(), F.col("doc_id") == F.col("_doc"), "left_semi")
-    sets = stored(segments(texts, size, order).groupBy("sig", "fragment").agg(F.first("segment").alias("segment")), "segments")
-
     stars = (
         blocks.filter("sig <> a").filter((F.lit(100) * F.least("n", "n_a")) >= F.lit(percent) * F.greatest("n", "n_a"))
-        .select("a", F.col("sig").alias("b"), "n_a", F.col("n").alias("n_b")).distinct()
+        .groupBy("a", F.col("sig").alias("b"), "n_a", F.col("n").alias("n_b")).agg(F.count("*").alias("shared"))
+        .filter(F.col("shared") >= enough_shared(percent)).drop("shared")
     )
-    first = stored(links(stars, sets, percent).select("a", "b"), "links")
+    first = compared(named, stored(stars, "stars"), size, percent, order)
     roots = components(first)
 
     placed = stored(
@@ -272,8 +325,9 @@ def ngram_components(docs: DataFrame, size: int = 4, percent: int = 85, frequent
     fits = needed("n_a", "n_b")(percent) <= F.least(F.col("n_a") - F.col("p_a"), F.col("n_b") - F.col("p_b"))
     close = (F.lit(100) * F.least("n_a", "n_b")) >= F.lit(percent) * F.greatest("n_a", "n_b")
     crossing = x.join(y, (x["h"] == y["h"]) & (F.col("a") < F.col("b")) & (F.col("r_a") != F.col("r_b")) & close & fits)
-    crossing = crossing.select("a", "b", "n_a", "n_b").distinct()
-    roots = components(first.union(links(crossing, sets, percent).select("a", "b")))
+    crossing = stored(close_pairs(crossing.select("a", "b", "n_a", "n_b").distinct(), placed, percent), "crossing")
+    if not crossing.isEmpty():
+        roots = components(first.union(compared(named, crossing, size, percent, order)))
 
     named_sizes = sizes.join(roots, sizes["sig"] == roots["node"], "left").select("doc_id", "n", F.coalesce("root", "sig").alias("root"))
     least = named_sizes.filter("doc_id is not null and n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
