@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from glasswatch.llm.graph import components
@@ -35,7 +35,7 @@ FREQUENT = 1 << 19
 #: Pivots: fragments of the n-grams outside the list by hash, and of the listed ones by rank.
 HASH_FRAGMENTS, RANK_FRAGMENTS = 6, 2
 #: How many of the first n-grams a pair must share.
-SHARED = 4
+SHARED = 8
 #: Bits of the filter by which tasks know the sets to be compared. False hits only cost time.
 FILTER_BITS = 1 << 25
 LISTED = U(1 << 63)
@@ -301,7 +301,10 @@ def ngram_components(docs: DataFrame, size: int = 4, percent: int = 85, frequent
     values, bits = frequent_ngrams(named, size, frequent)
     order = spark.sparkContext.broadcast(Order(values, bits))
 
-    blocks = stored(shared_blocks(prefixes(named, size, percent, order)).distinct(), "blocks")
+    # dealt by set once: equal sets named by several tasks become one, and sets that share too few n-grams with anyone go
+    rows = shared_blocks(prefixes(named, size, percent, order)).repartition("sig").dropDuplicates()
+    alone = F.count("*").over(Window.partitionBy("sig")) < F.least(F.lit(SHARED), F.ceil(F.lit(percent) * F.col("n") / F.lit(100)))
+    blocks = stored(rows.withColumn("alone", alone).filter("not alone").drop("alone"), "blocks")
     stars = (
         blocks.filter("sig <> a").filter((F.lit(100) * F.least("n", "n_a")) >= F.lit(percent) * F.greatest("n", "n_a"))
         .groupBy("a", F.col("sig").alias("b"), "n_a", F.col("n").alias("n_b")).agg(F.count("*").alias("shared"))
