@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from glasswatch.llm.tables import ship
 
 #: Pre-tokens of which a worker remembers the count at once; the table starts anew beyond that.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 PRE_TOKEN = re.compile(" +[^ ]*")
 SPACE_MARK = "▁"
 

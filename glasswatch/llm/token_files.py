@@ -9,13 +9,14 @@ is one vector operation. Blocks are independent, and any checkpoint can be decod
 Reading: blocks are decoded one by one in any task; the checksum of each must fit. The offset of a document in the corpus
 comes from sums over parts and blocks. Parquet is the container because Spark's commit protocol then covers lost tasks.
 
-The pre-tokenizer never lets a token span white space, so a text's ids are those of its words, and each distinct word is encoded
-once per worker while a bounded table has room. Null and empty texts have the end id alone. Nothing is truncated.
+The pre-tokenizer folds case and never lets a token span white space or the edge of a run of letters (tried when an encoder is
+made), so a text's ids are those of its words, and each distinct word is encoded once per worker while a bounded table has room. Null and empty texts have the end id alone. Nothing is truncated.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import zlib
 
 import numpy as np
@@ -25,12 +26,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from glasswatch.llm.tables import ship, stored
+from glasswatch.llm.words import chunks
 
 BLOCK_IDS = 1 << 17
 LANES, STEPS = 512, 128
 SCALE = 20
 LOW = np.uint64(1 << 31)
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
+PUNCTUATION = ".,;:!?"
 U = np.uint64
 
 
@@ -44,11 +47,12 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.kind = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
-        for text in ("a b", "a b\nc", "é è", " a  b "):
-            words = [i for w in self.split(text) for i in self.encode(w)]
+        for text in ("a b", "a b\nc", "é è", " a  b ", "Some words, then: more!? The end."):
+            words = [i for w in re.findall(r"[^\s.,;:!?]+|[.,;:!?]+", text.lower()) for i in self.encode(w)]
             if words != self.encode(text):
                 raise ValueError("tokens of this tokenizer may span white space")
         self.known: dict[str, bytes] = {}
+        self.cores: dict[str, bytes] = {}
 
     @staticmethod
     def split(text: str) -> list[str]:
@@ -57,21 +61,26 @@ class Encoder:
     def encode(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def ids(self, text: str) -> bytes:
-        words = self.split(text)
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            fresh = [w for w in set(words) if w not in self.known]
-            if len(self.known) + len(fresh) > REMEMBERED:
-                self.known = {}
-                fresh = list(set(words))
-            done = self.tokenizer.encode_batch(fresh, add_special_tokens=False)
-            own = {w: np.array(e.ids, self.kind).tobytes() for w, e in zip(fresh, done, strict=True)}
-            if len(own) <= REMEMBERED:
-                self.known.update(own)
-                return b"".join(map(self.known.__getitem__, words))
-            return b"".join(map(own.__getitem__, words))
+    def ids(self, texts: list[str]) -> list[bytes]:
+        words = [self.split(t) for t in texts]
+        fresh = set().union(*words).difference(self.known)
+        if fresh and len(self.known) + len(self.cores) > REMEMBERED:
+            self.known, self.cores = {}, {}
+            fresh = set().union(*words)
+        self.learn(fresh)
+        return [b"".join(map(self.known.__getitem__, w)) for w in words]
+
+    def learn(self, words: set[str]) -> None:
+        """Plain words with punctuation behind them are the word in lower case and the punctuation, each encoded once."""
+        parts = {}
+        for w in words:
+            low = w.lower() if w.isascii() else ""
+            core = low.rstrip(PUNCTUATION)
+            parts[w] = (core, low[len(core) :]) if core.isalpha() else (w, "")
+        fresh = list({x for pair in parts.values() for x in pair if x not in self.cores})
+        done = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
+        self.cores.update((x, np.array(e.ids, self.kind).tobytes()) for x, e in zip(fresh, done, strict=True))
+        self.known.update((w, self.cores[a] + self.cores[b]) for w, (a, b) in parts.items())
 
 
 _encoders: dict[str, Encoder] = {}
@@ -90,15 +99,10 @@ def encoded(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
         e = encoder(tokenizer_path)
         end = np.array([end_id], e.kind).tobytes()
         for b in batches:
-            ids, held, lo = [], 0, 0
-            for i, t in enumerate(b.column(1)):
-                ids.append(e.ids(t.as_py() or "") + end)
-                held += len(ids[-1])
-                if held > 4 << 20:
-                    yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, len(ids)), pa.array(ids, pa.binary())], ["doc_id", "ids"])
-                    ids, held, lo = [], 0, i + 1
-            if ids:
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, len(ids)), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            for c in chunks(b.column(1)):
+                texts = b.column(1).slice(c.lo, c.hi - c.lo).to_pylist()
+                ids = [x + end for x in e.ids([t or "" for t in texts])]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(c.lo, c.hi - c.lo), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary")
 
