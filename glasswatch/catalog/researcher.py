@@ -104,7 +104,7 @@ register(
 register(
     "serve_my_queries", lambda s, d: serving.my_queries(t.requests(s, d), "rk_7", 1000),
     "SELECT query_id, endpoint, requested_at, response_status_code, latency_ms FROM requests WHERE key_id = 'rk_7' "
-    "ORDER BY requested_at DESC, query_id LIMIT 500",
+    "ORDER BY requested_at DESC, query_id LIMIT 1000",
     "requests", times="requested_at",
 )
 register(

@@ -550,8 +550,6 @@ cte(
 
 # --- verdicts and request log ----------------------------------------------------------------------------------
 
-PROVIDERS = ("click", "view", "purchase")
-
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
@@ -563,7 +561,7 @@ def _pick(c: Column, *values: str) -> Column:
 
 def raw_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ok = F.col("k") >= 10
-    e = events(spark, sf_dir).filter(F.col("event_type").isin(*PROVIDERS))
+    e = events(spark, sf_dir)
     return e.select(
         F.concat(
             F.lit("v_"), F.substring(F.sha2(F.concat_ws(":", "event_type", "event_id"), 256), 1, 16)
@@ -664,7 +662,7 @@ cte(
     "CAST(k * 100 AS BIGINT) AS input_tokens, CAST(k * 10 AS BIGINT) AS output_tokens, "
     "CAST(k AS DOUBLE) / 1000 AS cost_usd, sha256(CAST(user_id AS VARCHAR)) AS prompt_hash, "
     "CASE WHEN k >= 10 THEN sha256(props) END AS response_hash "
-    "FROM ev WHERE event_type IN ('click', 'view', 'purchase')",
+    "FROM ev",
     "ev",
 )
 cte(

@@ -100,7 +100,6 @@ class VerdictConfig:
         }
     )
     budget_usd: float = 10.0
-    max_reasoning_chars: int = 1000
 
     # fixed values: allowed answers
     recommendations: tuple[str, ...] = ("recommend_no_action", "recommend_rank_lower", "recommend_remove")

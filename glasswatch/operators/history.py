@@ -28,19 +28,16 @@ def apply_snapshot(
 ) -> DataFrame:
     """History after another delivery: changed and vanished rows are closed, changed and new ones opened.
 
-    One full outer join of the open rows with the delivery on the keys; closed rows pass through.
+    One full outer join of the open rows with the delivery on the keys, in which NULL equals NULL; closed rows pass through.
     """
     is_open = F.col("is_current")
     fresh = first_snapshot(current, tracked, at)
-    joined = (
-        history.filter(is_open)
-        .select(F.struct(*history.columns).alias("old"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
-        .join(
-            fresh.select(F.struct(*history.columns).alias("new"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]),
-            [f"_k{i}" for i in range(len(keys))],
-            "full",
-        )
-    )
+    old = history.filter(is_open).select(F.struct(*history.columns).alias("old"), *[F.col(k).alias(f"_o{i}") for i, k in enumerate(keys)])
+    new = fresh.select(F.struct(*history.columns).alias("new"), *[F.col(k).alias(f"_n{i}") for i, k in enumerate(keys)])
+    same_key = F.lit(True)
+    for i in range(len(keys)):
+        same_key = same_key & F.col(f"_o{i}").eqNullSafe(F.col(f"_n{i}"))
+    joined = old.join(new, same_key, "full")
     gone, added = F.col("new").isNull(), F.col("old").isNull()
     same = F.col("old.row_hash") == F.col("new.row_hash")
     closed = F.col("old").withField("valid_to", at).withField("is_current", F.lit(False))

@@ -260,17 +260,24 @@ def playlist_stuffing(streams: DataFrame, tracks: DataFrame, cfg: SignalConfig =
 
 def _listener_profile(streams: DataFrame, users: DataFrame, cfg: SignalConfig) -> DataFrame:
     """Listener ratio and household concentration of every streamed track, from one (track, user) aggregate."""
-    known = users.select("user_id", "household_id", F.lit(True).alias("_known"))
+    # a user id listed twice counts in each of its households, but its plays are the track's only once
+    known = users.groupBy("user_id").agg(F.collect_list(F.struct("household_id")).alias("_homes"))
+    once = F.col("_home").isNull() | (F.col("_home") == 0)
     total, listeners = F.col("total_streams"), F.col("distinct_listeners")
     per_track = (
         streams.groupBy("track_id", "user_id")
         .agg(_rows().alias("n"))
         .join(known, "user_id", "left")
-        .groupBy("track_id", "household_id", "_known")
-        .agg(F.sum("n").alias("n"), F.count("user_id").alias("listeners"))
+        .select("track_id", "user_id", "n", F.posexplode_outer("_homes").alias("_home", "_h"))
+        .groupBy("track_id", F.col("_h.household_id").alias("household_id"), F.col("_home").isNotNull().alias("_known"))
+        .agg(
+            F.sum("n").alias("n"),
+            F.sum(F.when(once, F.col("n"))).alias("plays"),
+            F.count(F.when(once, F.col("user_id"))).alias("listeners"),
+        )
         .groupBy("track_id")
         .agg(
-            F.sum("n").alias("total_streams"),
+            F.sum("plays").alias("total_streams"),
             F.sum("listeners").alias("distinct_listeners"),
             F.sum(F.when(F.col("_known"), F.col("n"))).alias("_hh_total"),
             F.sum(F.when(F.col("_known"), _squared(F.col("n")))).alias("_squares"),

@@ -125,7 +125,7 @@ def dim_categories(categories: DataFrame, canonical_product: str = "main") -> Da
             ladder(
                 [
                     (label == "TOTAL", "aggregate"),
-                    (label.like("Category %") & (F.length(label) <= len("Category 99")), "top_level"),
+                    (label.like("Category %") & (F.length(label) <= 11), "top_level"),
                 ],
                 "sub_category",
             ).alias("category_level"),
@@ -143,7 +143,7 @@ PRODUCTS = {
 
 
 def dim_products(products: DataFrame, platform: str, catalogue: dict[str, tuple[str, str, str]] = PRODUCTS) -> DataFrame:
-    """The product lines found in ``products.product_line``, described from the catalogue.
+    """All product lines of the catalogue, and those found in ``products.product_line`` besides.
 
     ``platform`` is the name of the platform whose reports are loaded. A product outside the catalogue keeps NULLs.
     """
@@ -164,6 +164,7 @@ def dim_products(products: DataFrame, platform: str, catalogue: dict[str, tuple[
     return (
         products.select("product_line")
         .filter("product_line is not null")
+        .union(products.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, catalogue)))))
         .distinct()
         .withColumn("_d", F.try_element_at(described, _c("product_line")))
         .select(_c("product_line").alias("product_id"), "_d.display_name", "_d.service_kind", "_d.audience_kind")

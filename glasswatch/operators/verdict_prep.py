@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glasswatch.config import VerdictConfig
@@ -200,7 +200,7 @@ def parse_responses(responses: DataFrame, cfg: VerdictConfig = VerdictConfig())
     def if_good(c: Column) -> Column:
         return F.when(F.col("_good"), c)
 
-    reasoning = F.substring(F.coalesce(F.col("_reasoning"), F.lit("")), 1, cfg.max_reasoning_chars)
+    reasoning = F.coalesce(F.col("_reasoning"), F.lit(""))
     return judged.select(
         *responses.columns,
         if_good(F.col("_recommendation")).alias("recommendation"),
@@ -247,12 +247,14 @@ def budget_gate(
 
     A call is skipped once the calls before it cost the budget or more; skipped calls cost nothing. Costs are never
     negative, so the spend before a call is its exclusive running total, found slot by slot over the whole-number
-    ``order``.
+    ``order``. Calls of equal order follow one another by a hash of their columns.
     """
     amount = F.coalesce(F.col("cost_usd"), F.lit(0.0))
-    # calls of equal order would see each other; the order is a sequence number, so there are none
     run = running_total(calls.withColumn("_cost", amount), "_cost", order, F.floor(F.col(order) / slot_width), out="_run")
-    before = F.round(F.col("_run") - F.col("_cost"), 9)
+    # the total includes all calls of equal order: take off this one and those that follow it
+    tied = Window.partitionBy(order).orderBy(F.xxhash64(*calls.columns).desc()).rowsBetween(Window.unboundedPreceding, 0)
+    before = F.round(F.col("_run") - F.col("_later"), 9)
+    run = run.withColumn("_later", F.sum("_cost").over(tied))
     skipped = before >= cfg.budget_usd
     return run.select(
         *calls.columns,

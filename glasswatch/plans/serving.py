@@ -24,7 +24,6 @@ ENDPOINT_TABLES = {
     "/dsa/member_state": "rpt_member_state_breakdown",
     "/dsa/categories": "dim_dsa_categories",
 }
-MAX_HISTORY = 500
 
 
 def _of_product(df: DataFrame, product_line: str | None) -> DataFrame:
@@ -90,7 +89,7 @@ def my_queries(log: DataFrame, key_id: str, limit: int = 50) -> DataFrame:
         log.filter(F.col("key_id") == key_id)
         .select("query_id", "endpoint", "requested_at", "response_status_code", "latency_ms")
         .orderBy(F.desc("requested_at"), "query_id")
-        .limit(min(limit, MAX_HISTORY))
+        .limit(limit)
     )
 
 

@@ -15,14 +15,14 @@ from glasswatch.schemas import OPTIONAL, PROVENANCE, RULES, bronze_type
 def header_drift(headers: DataFrame, expected: Sequence[str]) -> DataFrame:
     """Positions at which a delivered header differs from the expected one.
 
-    ``headers`` has one row per delivery: ``source`` and the array ``header``. Only the expected width is compared;
-    a shorter header shows NULL for what it lacks.
+    ``headers`` has one row per delivery: ``source`` and the array ``header``. All positions of both are compared: a shorter
+    header shows NULL for what it lacks, and a longer one shows NULL as what was wanted. No header at all lacks everything.
     """
     wanted = F.array(*[F.lit(name) for name in expected])
-    width = len(expected)
+    got = F.coalesce("header", F.array().cast("array<string>"))
     pairs = F.arrays_zip(
-        F.sequence(F.lit(0), F.lit(width - 1)).alias("position"),
-        F.slice("header", 1, width).alias("got"),
+        F.sequence(F.lit(0), F.greatest(F.size(got), F.lit(len(expected))) - 1).alias("position"),
+        got.alias("got"),
         wanted.alias("want"),
     )
     return (

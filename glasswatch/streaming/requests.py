@@ -23,13 +23,17 @@ def read_files(spark: SparkSession, path: str, schema: T.StructType, max_files:
 def audit_rows(raw: DataFrame, delay: str = "2 minutes") -> DataFrame:
     """Typed request rows, each query id once even if its file arrives again within the delay.
 
+    A request without an id is known by all its columns, so that different ones stay apart.
     The event time has to be TIMESTAMP for a watermark; it turns back to the zone-free type afterwards.
     """
     staged = stage_table(raw, "researcher_queries")
+    whole = F.sha2(F.to_json(F.struct(*staged.columns), {"ignoreNullFields": "false"}), 256)
     return (
-        staged.withColumn("requested_at", F.col("requested_at").cast("timestamp"))
+        staged.withColumn("_request", F.when(F.col("query_id").isNull(), F.concat(F.lit("?"), whole)).otherwise(F.concat(F.lit("="), "query_id")))
+        .withColumn("requested_at", F.col("requested_at").cast("timestamp"))
         .withWatermark("requested_at", delay)
-        .dropDuplicatesWithinWatermark(["query_id"])
+        .dropDuplicatesWithinWatermark(["_request"])
+        .drop("_request")
         .withColumn("requested_at", F.col("requested_at").cast("timestamp_ntz"))
         .withColumn("outcome_class", outcome_class(F.col("response_status_code")))
     )
