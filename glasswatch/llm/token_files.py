@@ -228,7 +228,10 @@ def write_blocks(tokens: DataFrame, table, kind: np.dtype, block_ids: int = BLOC
 
 
 def read_documents(blocks: DataFrame, table) -> DataFrame:
-    """Per document of a block table: ``doc_id``, ``part``, ``block``, ``place``, ``offset`` in the block, ``n_tokens``, ``ids`` (unsigned 32-bit, little-endian)."""
+    """Per document of a block table: ``doc_id``, ``start``, ``n_tokens``, ``ids`` (unsigned 32-bit, little-endian).
+
+    Blocks meet their starts while they are still coded.
+    """
 
     def run(batches):
         t = table.value
@@ -241,14 +244,13 @@ def read_documents(blocks: DataFrame, table) -> DataFrame:
                 lengths = np.array(r["lengths"], np.int64)
                 ends = np.cumsum(lengths)
                 own = [ids[e - k : e].tobytes() for e, k in zip(ends, lengths, strict=True)]
-                m = len(own)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(r["doc_ids"], pa.int64()), pa.array([r["part"]] * m, pa.int32()), pa.array([r["block"]] * m, pa.int32()), pa.array(range(m), pa.int32()), pa.array(ends - lengths), pa.array(lengths), pa.array(own, pa.binary())],
-                    ["doc_id", "part", "block", "place", "offset", "n_tokens", "ids"],
+                    [pa.array(r["doc_ids"], pa.int64()), pa.array(ends - lengths + r["block_start"]), pa.array(lengths), pa.array(own, pa.binary())],
+                    ["doc_id", "start", "n_tokens", "ids"],
                 )
 
-    columns = "doc_id long, part int, block int, place int, offset long, n_tokens long, ids binary"
-    return blocks.select(*[c.split(" ")[0] for c in BLOCK_COLUMNS.split(", ")]).mapInArrow(run, columns)
+    placed = blocks.join(block_starts(blocks), ["part", "block"])
+    return placed.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def block_starts(blocks: DataFrame) -> DataFrame:
@@ -268,5 +270,4 @@ def token_files(docs: DataFrame, tokenizer_path: str, end_id: int = 2, block_ids
     freq = scaled(frequencies(tokens, e.kind, max(e.size, end_id + 1)))
     table = spark.sparkContext.broadcast(Table(freq))
     blocks = write_blocks(tokens, table, e.kind, block_ids)
-    read = read_documents(blocks, table).join(block_starts(blocks), ["part", "block"])
-    return read.select("doc_id", (F.col("block_start") + F.col("offset")).alias("start"), "n_tokens", "ids")
+    return read_documents(blocks, table)
