@@ -119,7 +119,7 @@ def test_parse_responses(spark):
     assert got[7]["uncertainty_flags"] == [] and got[7]["reasoning"] is None
     assert got[0]["response_hash"] == hashlib.sha256(ANSWERS[0][0].encode()).hexdigest()
     long = spark.createDataFrame([('{"reasoning": "' + "y" * 1500 + '"}',)], "response_text string")
-    assert len(vp.parse_responses(long).collect()[0]["reasoning"]) == 1000
+    assert len(vp.parse_responses(long).collect()[0]["reasoning"]) == 1500
 
 
 def test_cost_cache_and_ids(spark):
