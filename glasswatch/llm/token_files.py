@@ -7,7 +7,7 @@ checkpoint for every STEPS steps, and the CRC-32 of its ids. LANES coder states
 is one vector operation. Blocks are independent, and any checkpoint can be decoded from by itself.
 
 Reading: blocks are decoded one by one in any task; the checksum of each must fit. The offset of a document in the corpus
-comes from sums over parts and blocks. Parquet is the container because Spark's commit protocol then covers lost tasks.
+comes from sums over parts, which count up their own blocks. Parquet is the container because Spark's commit protocol then covers lost tasks.
 
 The pre-tokenizer folds case and never lets a token span white space or the edge of a run of letters (tried when an encoder is
 made), so a text's ids are those of its words, and each distinct word is encoded once per worker while a bounded table has room. Null and empty texts have the end id alone. Nothing is truncated.
@@ -18,6 +18,8 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from collections import defaultdict
+from itertools import chain, compress, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,54 +35,112 @@ LANES, STEPS = 512, 128
 SCALE = 20
 LOW = np.uint64(1 << 31)
 REMEMBERED = 1_000_000
-PUNCTUATION = ".,;:!?"
+PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#*$%&]*)")
+#: Words in one text for the model.
+TOGETHER = 200
 U = np.uint64
 
 
 class Encoder:
-    """Encodes whole texts word by word; made once per worker."""
+    """Encodes whole texts word by word; made once per worker.
+
+    Letters and the punctuation behind them (PLAIN) are encoded apart. What the normalizer and pre-tokenizer make of such a word is
+    its lower case spelled in the byte alphabet, so the model itself is given many of them at once; their ids are told apart by the
+    suffix that ends a word. Any other word goes through the whole tokenizer by itself. Ids of words lie in one pool.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.kind = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
-        for text in ("a b", "a b\nc", "é è", " a  b ", "Some words, then: more!? The end."):
-            words = [i for w in re.findall(r"[^\s.,;:!?]+|[.,;:!?]+", text.lower()) for i in self.encode(w)]
-            if words != self.encode(text):
-                raise ValueError("tokens of this tokenizer may span white space")
-        self.known: dict[str, bytes] = {}
-        self.cores: dict[str, bytes] = {}
+        self.bare = Tokenizer(self.tokenizer.model)
+        self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        byte = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        letters = [chr(c) for c in range(256) if PLAIN.fullmatch(chr(c))]
+        # the signs that spell these are no lower-case letters themselves, so replacing one by one is safe
+        self.spelling = {c: byte.pre_tokenize_str(c)[0][0] for c in letters if not c.isascii() and c == c.lower()}
+        suffix = self.tokenizer.model.end_of_word_suffix
+        self.ends = np.zeros(self.size, bool)
+        if suffix:
+            self.ends[[i for x, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if x.endswith(suffix)]] = True
+        self.clear()
+        for text in ("a b", "a b\nc", "é è", " a  b ", "Some words, then: more!? The end.", "ÉTÉ d'été%%% it's", " ".join(letters), "".join(letters)):
+            if list(self.ids([text])[0]) != self.tokenizer.encode(text, add_special_tokens=False).ids:
+                raise ValueError("tokens of this tokenizer may span white space, or its words have no suffix")
+
+    def clear(self) -> None:
+        """Forget all words. Words and pieces are numbered as they come; piece 0 is empty."""
+        self.known = defaultdict(count().__next__)
+        self.pieces = defaultdict(count(1).__next__, {"": 0})
+        self.pool, self.start, self.length = np.zeros(0, self.kind), np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.core, self.tail = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     @staticmethod
     def split(text: str) -> list[str]:
         return text.replace("\n", " ").split(" ")
 
-    def encode(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def ids(self, texts: list[str]) -> list[bytes]:
+    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and where each text ends in it."""
+        if len(self.known) + len(self.pieces) > REMEMBERED:
+            self.clear()
         words = [self.split(t) for t in texts]
-        fresh = set().union(*words).difference(self.known)
-        if fresh and len(self.known) + len(self.cores) > REMEMBERED:
-            self.known, self.cores = {}, {}
-            fresh = set().union(*words)
-        self.learn(fresh)
-        return [b"".join(map(self.known.__getitem__, w)) for w in words]
-
-    def learn(self, words: set[str]) -> None:
-        """Plain words with punctuation behind them are the word in lower case and the punctuation, each encoded once."""
-        parts = {}
+        each = np.array([len(w) for w in words], np.int64)
+        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(words)), np.int64, each.sum())
+        self.learn(list(islice(reversed(self.known), len(self.known) - len(self.core)))[::-1])
+        piece = np.empty(2 * len(at), np.int64)
+        piece[::2], piece[1::2] = self.core[at], self.tail[at]
+        n = self.length[piece]
+        upto = np.append(0, np.cumsum(n))
+        ids = self.pool[np.repeat(self.start[piece] - upto[:-1], n) + np.arange(upto[-1])]
+        return ids, upto[2 * np.cumsum(each)]
+
+    def learn(self, words: list[str]) -> None:
+        """Cut newly numbered words into pieces and add the new pieces to the pool."""
+        number, had = self.pieces, len(self.pieces)
+        core, tail, plain = [], [], set()
         for w in words:
-            low = w.lower() if w.isascii() else ""
-            core = low.rstrip(PUNCTUATION)
-            parts[w] = (core, low[len(core) :]) if core.isalpha() else (w, "")
-        fresh = list({x for pair in parts.values() for x in pair if x not in self.cores})
-        done = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-        self.cores.update((x, np.array(e.ids, self.kind).tobytes()) for x, e in zip(fresh, done, strict=True))
-        self.known.update((w, self.cores[a] + self.cores[b]) for w, (a, b) in parts.items())
+            if m := PLAIN.fullmatch(w):
+                x, y = m.groups()
+                core.append(i := number[x.lower()])
+                tail.append(number[y])
+                if i >= had:
+                    plain.add(i)
+            else:
+                core.append(number[w])
+                tail.append(0)
+        new = list(islice(reversed(number), len(number) - had))[::-1]
+        is_plain = np.isin(np.arange(had, len(number)), np.fromiter(plain, np.int64, len(plain)))
+        joined = self.spelled(list(compress(new, is_plain)))
+        whole = self.tokenizer.encode_batch_fast(list(compress(new, ~is_plain)), add_special_tokens=False)
+        whole = [np.array(e.ids, self.kind) for e in whole]
+        length = np.zeros(len(new), np.int64)
+        length[is_plain] = np.diff(np.flatnonzero(self.ends[joined]) + 1, prepend=0)
+        length[~is_plain] = [len(x) for x in whole]
+        start = np.zeros(len(new), np.int64)
+        for part, at in ((is_plain, len(self.pool)), (~is_plain, len(self.pool) + len(joined))):
+            start[part] = at + np.cumsum(length[part]) - length[part]
+        self.pool = np.concatenate([self.pool, joined, *whole])
+        self.start, self.length = np.append(self.start, start), np.append(self.length, length)
+        self.core, self.tail = np.append(self.core, np.array(core, np.int64)), np.append(self.tail, np.array(tail, np.int64))
+
+    def spelled(self, words: list[str]) -> np.ndarray:
+        """The ids of lower-case words of letters in a row."""
+        out = [np.zeros(0, self.kind)]
+        for i in range(0, len(words), 50 * TOGETHER):
+            groups = [" ".join(words[j : j + TOGETHER]) for j in range(i, min(i + 50 * TOGETHER, len(words)), TOGETHER)]
+            for k, g in enumerate(groups):
+                if not g.isascii():
+                    for letter, spelling in self.spelling.items():
+                        g = g.replace(letter, spelling)
+                    groups[k] = g
+            out += [np.array(e.ids, self.kind) for e in self.bare.encode_batch_fast(groups, add_special_tokens=False)]
+        ids = np.concatenate(out)
+        if np.count_nonzero(self.ends[ids]) != len(words):
+            raise ValueError("words can't be told apart by their suffix")
+        return ids
 
 
 _encoders: dict[str, Encoder] = {}
@@ -97,12 +157,14 @@ def encoded(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
 
     def run(batches):
         e = encoder(tokenizer_path)
-        end = np.array([end_id], e.kind).tobytes()
         for b in batches:
             for c in chunks(b.column(1)):
                 texts = b.column(1).slice(c.lo, c.hi - c.lo).to_pylist()
-                ids = [x + end for x in e.ids([t or "" for t in texts])]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(c.lo, c.hi - c.lo), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+                ids, ends = e.ids([t or "" for t in texts])
+                ids = np.insert(ids, ends, end_id)
+                offsets = np.append(0, ends + np.arange(1, len(ends) + 1)) * e.kind.itemsize
+                blob = pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(c.lo, c.hi - c.lo), blob.cast(pa.binary())], ["doc_id", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary")
 
@@ -195,21 +257,21 @@ class Table:
         return out
 
 
-BLOCK_COLUMNS = "part int, block int, doc_ids array<long>, lengths array<int>, n_ids long, words binary, states binary, read binary, crc32 long"
+BLOCK_COLUMNS = "part int, block int, before long, doc_ids array<long>, lengths array<int>, n_ids long, words binary, states binary, read binary, crc32 long"
 
 
 def write_blocks(tokens: DataFrame, table, kind: np.dtype, block_ids: int = BLOCK_IDS) -> DataFrame:
     """The stored block table of ``tokens(doc_id, ids)`` in ascending order of ``doc_id``."""
 
     def run(batches):
-        part, block = TaskContext.get().partitionId(), 0
+        part, block, before = TaskContext.get().partitionId(), 0, 0
         t, docs, held, n = table.value, [], [], 0
 
         def flush():
             ids = np.concatenate(held).astype(np.uint32)
             words, states, read = t.encode(ids)
-            row = [part, block, docs, [len(x) for x in held], len(ids), words.tobytes(), states.astype("<u8").tobytes(), read.astype("<i8").tobytes(), zlib.crc32(ids.astype("<u4").tobytes())]
-            types = [pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64()]
+            row = [part, block, before, docs, [len(x) for x in held], len(ids), words.tobytes(), states.astype("<u8").tobytes(), read.astype("<i8").tobytes(), zlib.crc32(ids.astype("<u4").tobytes())]
+            types = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, types, strict=True)], [c.split(" ")[0] for c in BLOCK_COLUMNS.split(", ")])
 
         for b in batches:
@@ -219,7 +281,7 @@ def write_blocks(tokens: DataFrame, table, kind: np.dtype, block_ids: int = BLOC
                 n += len(held[-1])
                 if n >= block_ids:
                     yield flush()
-                    docs, held, n, block = [], [], 0, block + 1
+                    docs, held, n, block, before = [], [], 0, block + 1, before + n
         if held:
             yield flush()
 
@@ -230,7 +292,7 @@ def write_blocks(tokens: DataFrame, table, kind: np.dtype, block_ids: int = BLOC
 def read_documents(blocks: DataFrame, table) -> DataFrame:
     """Per document of a block table: ``doc_id``, ``start``, ``n_tokens``, ``ids`` (unsigned 32-bit, little-endian).
 
-    Blocks meet their starts while they are still coded.
+    A block knows the ids before it in its part; where the parts start is joined while blocks are still coded.
     """
 
     def run(batches):
@@ -245,21 +307,19 @@ def read_documents(blocks: DataFrame, table) -> DataFrame:
                 ends = np.cumsum(lengths)
                 own = [ids[e - k : e].tobytes() for e, k in zip(ends, lengths, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(r["doc_ids"], pa.int64()), pa.array(ends - lengths + r["block_start"]), pa.array(lengths), pa.array(own, pa.binary())],
+                    [pa.array(r["doc_ids"], pa.int64()), pa.array(ends - lengths + r["part_start"] + r["before"]), pa.array(lengths), pa.array(own, pa.binary())],
                     ["doc_id", "start", "n_tokens", "ids"],
                 )
 
-    placed = blocks.join(block_starts(blocks), ["part", "block"])
+    placed = blocks.join(F.broadcast(part_starts(blocks)), "part")
     return placed.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 
 
-def block_starts(blocks: DataFrame) -> DataFrame:
-    """``part``, ``block`` and ``block_start``, the ids of all blocks before it; totals of parts are summed first."""
+def part_starts(blocks: DataFrame) -> DataFrame:
+    """``part`` and ``part_start``, the ids of all parts before it: a row for each partition of the range exchange, so no more than its setting allows."""
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = blocks.groupBy("part").agg(F.sum("n_ids").alias("n")).select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("part_start"))
-    within = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    own = blocks.select("part", "block", F.coalesce(F.sum("n_ids").over(within), F.lit(0)).alias("own"))
-    return own.join(parts, "part").select("part", "block", (F.col("own") + F.col("part_start")).alias("block_start"))
+    parts = blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))
+    return parts.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("part_start"))
 
 
 def token_files(docs: DataFrame, tokenizer_path: str, end_id: int = 2, block_ids: int = BLOCK_IDS) -> DataFrame:
