@@ -87,5 +87,5 @@ def fraud_caught(expectations: DataFrame, flags: DataFrame) -> DataFrame:
             F.countDistinct(hit).alias("tracks_at_or_above_threshold"),
         )
         .filter("actual_max_score < expected_min_score")
-        .withColumn("failure_reason", F.lit("fraud not caught — max(composite_score) < expected_min_score"))
+        .withColumn("failure_reason", F.lit("best score of the expected tracks is too low"))
     )
