@@ -7,7 +7,7 @@ from glasswatch.catalog import transparency as trc
 from glasswatch.catalog.registry import register
 from glasswatch.operators import history, quality
 from glasswatch.plans.expectations import EXPECTATIONS, check_table
-from glasswatch.plans.publish import count_failures, publish
+from glasswatch.plans.publish import count_failures, publish, read_published
 from glasswatch.session import new_path
 
 _ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
@@ -116,7 +116,7 @@ def _gate(s, d):
     second = publish(flags.filter("n_signals_fired > 0"), path, _checks(0, 0))
     if not first.published or second.published:
         raise RuntimeError(f"gate let the wrong table through: {first}, {second}")
-    return s.read.parquet(path).select("track_id", "n_signals_fired", "recommended_action")
+    return read_published(s, path).select("track_id", "n_signals_fired", "recommended_action")
 
 
 register(

@@ -101,6 +101,25 @@ register(
     "WHEN '/dsa/categories' THEN 'dim_dsa_categories' ELSE 'unknown' END AS model FROM requests)",
     "requests", times="queried_at",
 )
+
+
+def _one_citation(s, d):
+    """The citation of the request with the smallest id, asked for by its own key."""
+    log = t.requests(s, d)
+    asked = log.agg(F.min(F.struct("query_id", "key_id")).alias("x")).select("x.*").first()
+    return serving.citation(log, asked["query_id"], asked["key_id"], _PUBLISHER, _URL, 2026)
+
+
+register(
+    "serve_citation_lookup", _one_citation,
+    "SELECT query_id, key_id, endpoint, ts AS queried_at, model, '@misc{annual_2025_' || model || ', author={Sample}, "
+    "title={Transparency data via Sample (' || model || ')}, year={2026}, howpublished={\\url{https://example.org/data}}}' AS "
+    "suggested_bibtex FROM (SELECT query_id, key_id, endpoint, requested_at AS ts, CASE endpoint WHEN '/dsa/cross_product' "
+    "THEN 'rpt_cross_product_summary' WHEN '/dsa/time_series' THEN 'rpt_quarter_over_quarter_trends' WHEN "
+    "'/dsa/member_state' THEN 'rpt_member_state_breakdown' WHEN '/dsa/categories' THEN 'dim_dsa_categories' ELSE 'unknown' "
+    "END AS model FROM requests ORDER BY query_id, key_id LIMIT 1)",
+    "requests", times="queried_at",
+)
 register(
     "serve_my_queries", lambda s, d: serving.my_queries(t.requests(s, d), "rk_7", 1000),
     "SELECT query_id, endpoint, requested_at, response_status_code, latency_ms FROM requests WHERE key_id = 'rk_7' "

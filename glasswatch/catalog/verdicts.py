@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from glasswatch.catalog import tables as t
 from glasswatch.catalog.registry import cte, register, round_sql
+from glasswatch.catalog.store import stored
 from glasswatch.operators import signals, verdict_prep, verdicts
 from glasswatch.config import VerdictConfig
 
@@ -44,9 +45,14 @@ def agreement(s, d):
     return verdicts.agreement_rate(t.verdict_fact(s, d))
 
 
+def recommended(s, d):
+    """The columns of the fact that drift reads; none comes from the flags."""
+    return t.staged_verdicts(s, d).withColumnRenamed("recommendation", "llm_recommendation")
+
+
 register("rpt_llm_agreement_rate", agreement, "SELECT * EXCLUDE (top) FROM agreement", "agreement")
 register(
-    "rpt_llm_cost_breakdown", lambda s, d: verdicts.cost_breakdown(t.verdict_fact(s, d)),
+    "rpt_llm_cost_breakdown", lambda s, d: verdicts.cost_breakdown(t.staged_verdicts(s, d)),
     "SELECT provider, max(model_name) AS model_name, count(*) AS n_verdicts, count(*) FILTER (status = 'ok') AS n_ok, "
     "CAST(sum(input_tokens) AS BIGINT) AS total_input_tokens, CAST(sum(output_tokens) AS BIGINT) AS total_output_tokens, "
     f"{round_sql('sum(cost_usd)', 5)} AS total_cost_usd, {round_sql('avg(cost_usd) FILTER (status = $$ok$$)', 5)} AS "
@@ -54,7 +60,7 @@ register(
     "verdict_fact", rounded="total_cost_usd mean_cost_per_ok_verdict",
 )
 register(
-    "rpt_llm_latency_distribution", lambda s, d: verdicts.latency_distribution(t.verdict_fact(s, d)),
+    "rpt_llm_latency_distribution", lambda s, d: verdicts.latency_distribution(t.staged_verdicts(s, d)),
     "SELECT provider, max(model_name) AS model_name, count(*) AS n_ok_verdicts, min(latency_ms) AS latency_ms_min, "
     "avg(latency_ms) AS latency_ms_mean, max(latency_ms) AS latency_ms_max, quantile_cont(CAST(latency_ms AS DOUBLE), 0.5) "
     "AS latency_ms_p50, quantile_cont(CAST(latency_ms AS DOUBLE), 0.95) AS latency_ms_p95 FROM verdict_fact "
@@ -62,7 +68,7 @@ register(
     "verdict_fact", rounded="latency_ms_mean latency_ms_p50 latency_ms_p95",
 )
 register(
-    "rpt_llm_drift_score", lambda s, d: verdicts.drift_score(t.verdict_fact(s, d)),
+    "rpt_llm_drift_score", lambda s, d: verdicts.drift_score(recommended(s, d)),
     "SELECT provider, max(model_name) AS model_name, count(*) FILTER (status = 'ok') AS n_ok_current_window, "
     f"{_VOTES}, CAST(NULL AS DOUBLE) AS drift_score, CAST(NULL AS TIMESTAMP) AS prior_snapshot_at, 'no_prior_snapshot' "
     "AS drift_status FROM verdict_fact GROUP BY provider",
@@ -85,7 +91,7 @@ def _pull(v):
 _N = "(n_remove + n_rank_lower + n_no_action)"
 _SCORE = " + ".join(_pull(v) for v in verdicts.VOTES)
 register(
-    "llm_drift_js", lambda s, d: verdicts.drift_js(t.verdict_fact(s, d), tolerance=0.0005),
+    "llm_drift_js", lambda s, d: verdicts.drift_js(recommended(s, d), tolerance=0.0005),
     "SELECT provider, week_start, n_remove, n_rank_lower, n_no_action, drift_score, prior_snapshot_at, CASE WHEN "
     "drift_score IS NULL THEN 'no_prior_snapshot' WHEN drift_score > CAST(0.0005 AS DOUBLE) THEN 'drift_detected' ELSE "
     "'within_tolerance' END AS drift_status FROM (SELECT c.*, p.week_start AS prior_snapshot_at, CASE WHEN p.week_start "
@@ -102,16 +108,20 @@ register(
 
 def evidence(s, d):
     streams, users, tracks, artists = (f(s, d) for f in (t.streams, t.users, t.tracks, t.artists))
+    # a track per scenario, its plays, and those of its sessions: all plays are read twice, for these two tables
+    picked = stored(s, d, "scenario_tracks", lambda s, d: verdict_prep.picked_tracks(t.flags(s, d), t.expectations(s, d), tracks))
+    plays = stored(s, d, "scenario_plays", lambda s, d: verdict_prep.plays_of_tracks(streams, picked))
+    sessions = stored(s, d, "scenario_sessions", lambda s, d: verdict_prep.plays_of_sessions(streams, plays))
     return verdict_prep.scenario_evidence(
-        t.flags(s, d),
-        t.expectations(s, d),
+        picked.drop("scenario_id").distinct(),
+        picked,
         tracks,
         artists,
-        signals.listen_spike(streams, t.SIGNALS),
-        signals.geo_anomaly(streams, tracks, artists, t.SIGNALS),
-        signals.stream_to_listener_ratio(streams, t.SIGNALS),
-        signals.repeat_listener_concentration(streams, users, t.SIGNALS),
-        signals.playlist_stuffing(streams, tracks, t.SIGNALS),
+        signals.listen_spike(plays, t.SIGNALS),
+        signals.geo_anomaly(plays, tracks, artists, t.SIGNALS),
+        signals.stream_to_listener_ratio(plays, t.SIGNALS),
+        signals.repeat_listener_concentration(plays, users, t.SIGNALS),
+        signals.playlist_stuffing(sessions, tracks, t.SIGNALS),
     )
 
 

@@ -16,20 +16,31 @@ from glasswatch.functions.joins import join_null_safe
 
 
 def running_total(
-    df: DataFrame, value: str, order: str, slot: Column, keys: Sequence[str] = (), out: str = "running_total"
+    df: DataFrame,
+    value: str,
+    order: str,
+    slot: Column,
+    keys: Sequence[str] = (),
+    out: str = "running_total",
+    slots_per_run: int | None = None,
 ) -> DataFrame:
     """Add the sum of ``value`` over all rows of the same keys whose ``order`` is not greater (ties included).
 
-    ``slot`` must be a non-decreasing function of ``order``, narrow enough that one slot of one key fits a task.
+    ``slot`` must be a non-decreasing function of ``order``, narrow enough that one slot of one key fits a task. With
+    ``slots_per_run`` slots are whole numbers whose totals are themselves added up run by run: a key, or a table without
+    keys, may then have more slots than fit a task.
     """
     slotted = df.withColumn("_slot", slot)
-    earlier = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    totals = slotted.groupBy(*keys, "_slot").agg(F.coalesce(F.sum(value), F.lit(0)).alias("_total"))
+    if slots_per_run is None:
+        earlier = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+        before = totals.withColumn("_before", F.coalesce(F.sum("_total").over(earlier), F.lit(0)))
+    else:
+        runs = F.floor(F.col("_at") / slots_per_run)
+        upto = running_total(totals.withColumnRenamed("_slot", "_at"), "_total", "_at", runs, keys, "_upto")
+        before = upto.withColumnRenamed("_at", "_slot").withColumn("_before", F.col("_upto") - F.col("_total"))
     # what came before a slot enters it as one more row, ahead of all others: its order is NULL
-    carried = (
-        slotted.groupBy(*keys, "_slot")
-        .agg(F.sum(value).alias("_total"))
-        .select(*keys, "_slot", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias(value), F.lit(True).alias("_carried"))
-    )
+    carried = before.select(*keys, "_slot", F.col("_before").alias(value), F.lit(True).alias("_carried"))
     upto = Window.partitionBy(*keys, "_slot").orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     return (
         slotted.withColumn("_carried", F.lit(False))
@@ -48,6 +59,13 @@ def exact_quantiles(
     Values are counted first, so no task ever holds more than the distinct values of one slot.
     """
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    return counted_quantiles(counts, keys, value, probs, slot_width)
+
+
+def counted_quantiles(
+    counts: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], slot_width: float
+) -> DataFrame:
+    """The same from values with their number of rows, ``_n``; a value may be listed several times."""
     ranked = running_total(counts, "_n", value, F.floor(F.col(value) / F.lit(slot_width)), keys, "_upto")
     sizes = counts.groupBy(*keys).agg((F.sum("_n") - 1).alias("_last"))
     placed = join_null_safe(ranked, sizes, keys, "left")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from glasswatch.functions.expressions import count_when, string_agg_sorted
+from glasswatch.functions.expressions import count_when
 
 
 def not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -53,10 +53,14 @@ def categories_consistent(decisions: DataFrame, categories: DataFrame) -> DataFr
 
 def period_continuity(summary: DataFrame, periods: DataFrame) -> DataFrame:
     """Products that report different periods, and periods that end before they start."""
+    period = F.col("reporting_period_canonical")
+    # a set of periods is known by its size and the sum of its hashes
+    hashes = F.sum(F.when(period.isNotNull(), F.xxhash64(period)).cast("decimal(38,0)"))
     sets = (
-        summary.groupBy("product_line")
-        .agg(string_agg_sorted(F.col("reporting_period_canonical")).alias("periods_present"))
-        .agg(F.countDistinct("periods_present").alias("n"))
+        summary.select("product_line", period).distinct()
+        .groupBy("product_line")
+        .agg(F.count(period).alias("_size"), F.coalesce(hashes, F.lit(0)).alias("_sum"))
+        .agg(F.countDistinct("_size", "_sum").alias("n"))
         .filter("n > 1")
         .select(F.lit("period_set_mismatch").alias("failure_kind"), F.col("n").cast("string").alias("detail"))
     )
@@ -68,7 +72,10 @@ def period_continuity(summary: DataFrame, periods: DataFrame) -> DataFrame:
 
 def scenario_scores(expectations: DataFrame, flags: DataFrame) -> DataFrame:
     """Expected tracks of each scenario with the score they got (0 if not streamed)."""
-    scores = flags.select("track_id", F.col("composite_suspicion_score").alias("_score"))
+    # few tracks are expected: the flags of all others are filtered out, not shuffled
+    scores = flags.select("track_id", F.col("composite_suspicion_score").alias("_score")).join(
+        expectations.select("track_id").distinct(), "track_id", "left_semi"
+    )
     return expectations.join(scores, "track_id", "left").select(
         "scenario_id", "track_id", "expected_min_score", F.coalesce(F.col("_score"), F.lit(0.0)).alias("score")
     )

@@ -14,23 +14,12 @@ from glasswatch.functions.prefix import running_total
 from glasswatch.operators.signals import SIGNAL_COLUMNS
 
 
-def scenario_evidence(
-    flags: DataFrame,
-    expectations: DataFrame,
-    tracks: DataFrame,
-    artists: DataFrame,
-    spike: DataFrame,
-    geo: DataFrame,
-    ratio: DataFrame,
-    concentration: DataFrame,
-    stuffing: DataFrame,
-) -> DataFrame:
-    """The highest-scoring track of every scenario (ties: smallest id) with what the five signals measured on it.
+def picked_tracks(flags: DataFrame, expectations: DataFrame, tracks: DataFrame) -> DataFrame:
+    """The flag row of the highest-scoring track of every scenario (ties: smallest id), with ``scenario_id``.
 
-    Picking the track is a ``min_by`` aggregate, so a scenario with very many tracks needs no ranked window. Signal
-    details are only known for tracks inside the spike window, which is where all signals are looked up from.
+    A ``min_by`` aggregate, so a scenario with very many tracks needs no ranked window.
     """
-    picked = (
+    return (
         flags.join(expectations.select("scenario_id", "track_id"), "track_id")
         # only flagged tracks that are listed can represent a scenario
         .join(tracks.select("track_id"), "track_id", "left_semi")
@@ -43,6 +32,35 @@ def scenario_evidence(
         )
         .select("scenario_id", "f.*")
     )
+
+
+def plays_of_tracks(streams: DataFrame, picked: DataFrame) -> DataFrame:
+    """The plays of the picked tracks: all that their spike, country, listener and household numbers depend on."""
+    return streams.join(picked.select("track_id").distinct(), "track_id", "left_semi")
+
+
+def plays_of_sessions(streams: DataFrame, plays: DataFrame) -> DataFrame:
+    """All plays of the sessions that occur in ``plays``: what the session shares of their tracks depend on."""
+    return streams.join(plays.select("session_id").distinct(), "session_id", "left_semi")
+
+
+def scenario_evidence(
+    flags: DataFrame,
+    expectations: DataFrame,
+    tracks: DataFrame,
+    artists: DataFrame,
+    spike: DataFrame,
+    geo: DataFrame,
+    ratio: DataFrame,
+    concentration: DataFrame,
+    stuffing: DataFrame,
+) -> DataFrame:
+    """The picked track of every scenario with what the five signals measured on it.
+
+    Signal details are only known for tracks inside the spike window, which is where all signals are looked up from.
+    Signals may be given for the picked tracks only, from ``plays_of_tracks`` and ``plays_of_sessions``.
+    """
+    picked = picked_tracks(flags, expectations, tracks)
     listed = tracks.select("track_id", "artist_id", "ai_generated_label", "release_date")
     homes = artists.select("artist_id", F.col("country_iso2").alias("artist_country"))
     measured = (
@@ -250,7 +268,7 @@ def budget_gate(
     ``order``. Calls of equal order follow one another by a hash of their columns.
     """
     amount = F.coalesce(F.col("cost_usd"), F.lit(0.0))
-    run = running_total(calls.withColumn("_cost", amount), "_cost", order, F.floor(F.col(order) / slot_width), out="_run")
+    run = running_total(calls.withColumn("_cost", amount), "_cost", order, F.floor(F.col(order) / slot_width), out="_run", slots_per_run=1000)
     # the total includes all calls of equal order: take off this one and those that follow it
     tied = Window.partitionBy(order).orderBy(F.xxhash64(*calls.columns).desc()).rowsBetween(Window.unboundedPreceding, 0)
     before = F.round(F.col("_run") - F.col("_later"), 9)

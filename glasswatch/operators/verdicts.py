@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glasswatch.functions.expressions import flag, ladder, sum_when
-from glasswatch.functions.prefix import exact_quantiles
+from glasswatch.functions.prefix import counted_quantiles
 
 # fixed values: vote column -> recommendation, in the order that decides a tie
 VOTES = {
@@ -28,6 +28,8 @@ def with_heuristic(verdicts: DataFrame, flags: DataFrame, normalize_no_action: b
         F.col("recommended_action").alias("heuristic_action"),
         "n_signals_fired",
     )
+    # only tracks with a verdict are needed: their ids are few, so the flags of all tracks are filtered, not shuffled
+    heuristic = heuristic.join(verdicts.select("track_id").distinct(), "track_id", "left_semi")
     said, found = F.col("recommendation"), F.col("heuristic_action")
     if normalize_no_action:
         found = F.when(found == "no_action", "recommend_no_action").otherwise(found)
@@ -103,20 +105,27 @@ def cost_breakdown(fact: DataFrame) -> DataFrame:
 def latency_distribution(fact: DataFrame, approximate: bool = False, slot_ms: float = 1000.0) -> DataFrame:
     """Latency of successful verdicts per provider. Quantiles interpolate; ``approximate`` uses the built-in sketch."""
     base = fact.filter((F.col("status") == "ok") & (F.col("latency_ms") > 0))
-    plain = [
-        F.max("model_name").alias("model_name"),
-        F.count(F.lit(1)).alias("n_ok_verdicts"),
-        F.min("latency_ms").alias("latency_ms_min"),
-        F.avg("latency_ms").alias("latency_ms_mean"),
-        F.max("latency_ms").alias("latency_ms_max"),
-    ]
     probs = {"latency_ms_p50": 0.50, "latency_ms_p95": 0.95}
     if approximate:
-        sketches = [F.percentile_approx("latency_ms", F.lit(p)).alias(name) for name, p in probs.items()]
-        return base.groupBy("provider").agg(*plain, *sketches)
-    exact = exact_quantiles(base, ["provider"], "latency_ms", probs, slot_ms)
+        return base.groupBy("provider").agg(
+            F.max("model_name").alias("model_name"),
+            F.count(F.lit(1)).alias("n_ok_verdicts"),
+            F.min("latency_ms").alias("latency_ms_min"),
+            F.avg("latency_ms").alias("latency_ms_mean"),
+            F.max("latency_ms").alias("latency_ms_max"),
+            *[F.percentile_approx("latency_ms", F.lit(p)).alias(name) for name, p in probs.items()],
+        )
+    # one pass counts the distinct latencies; everything else is read off the counts
+    counts = base.groupBy("provider", "model_name", "latency_ms").agg(F.count(F.lit(1)).alias("_n"))
+    exact = counted_quantiles(counts, ["provider"], "latency_ms", probs, slot_ms)
     renamed = exact.withColumnRenamed("provider", "_provider")
-    stats = base.groupBy("provider").agg(*plain)
+    stats = counts.groupBy("provider").agg(
+        F.max("model_name").alias("model_name"),
+        F.sum("_n").alias("n_ok_verdicts"),
+        F.min("latency_ms").alias("latency_ms_min"),
+        (F.sum(F.col("latency_ms") * F.col("_n")) / F.sum("_n")).alias("latency_ms_mean"),
+        F.max("latency_ms").alias("latency_ms_max"),
+    )
     return stats.join(renamed, stats["provider"].eqNullSafe(renamed["_provider"])).drop("_provider")
 
 

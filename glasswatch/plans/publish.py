@@ -1,16 +1,21 @@
-"""Write, audit, publish: a mart becomes visible only if all its checks pass."""
+"""Write, audit, publish: a mart becomes visible only if all its checks pass.
+
+Every version is written once, to a folder of its own, and never touched again. Publishing adds one row to the log of
+published versions; readers take the version that the log names last, so they see a whole table at any time, and a
+publication that fails half-way leaves the last good one in place.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glasswatch.session import new_path
-from glasswatch.sources.sinks import write_mart
+from glasswatch.sources.sinks import append_rows, write_mart
 
 Check = Callable[[DataFrame], DataFrame]
 
@@ -32,15 +37,27 @@ def count_failures(table: DataFrame, checks: dict[str, Check]) -> DataFrame:
     return reduce(DataFrame.unionByName, counted)
 
 
+def _folder(path: str, version: str) -> str:
+    return f"{path}/versions/{version}"
+
+
 def publish(df: DataFrame, path: str, checks: dict[str, Check], partition_by: Sequence[str] = ()) -> Outcome:
-    """Write ``df`` to the work folder, run the checks on what was written and copy it to ``path`` if none fails."""
+    """Write ``df`` as a new version below ``path``, run the checks on it and make it the current one if none fails."""
     spark = df.sparkSession
-    staged = new_path(spark, "audit")
-    write_mart(df, staged, partition_by)
-    written = spark.read.schema(df.schema).parquet(staged)
+    version = uuid.uuid4().hex
+    write_mart(df, _folder(path, version), partition_by)
+    written = spark.read.schema(df.schema).parquet(_folder(path, version))
     # one row per check comes back
     failures = {r["check_name"]: r["n_failures"] for r in count_failures(written, checks).collect()}
     passed = not any(failures.values())
     if passed:
-        write_mart(written, path, partition_by)
+        row = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("published_at"))
+        append_rows(row, f"{path}/log")
     return Outcome(failures, passed)
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    """The version below ``path`` that was published last."""
+    log = spark.read.parquet(f"{path}/log")
+    version = log.agg(F.max_by("version", F.struct("published_at", "version"))).first()[0]
+    return spark.read.parquet(_folder(path, version))

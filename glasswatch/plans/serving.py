@@ -156,11 +156,12 @@ def automation_posture(report: DataFrame) -> DataFrame:
 
 def home_stats(notices: DataFrame, verdicts: DataFrame) -> DataFrame:
     """One row: notice rows, verdicts and successful verdicts."""
-    n = notices.agg(F.count(F.lit(1)).alias("n_notice_rows")).withColumn("_one", F.lit(1))
+    n = notices.agg(F.count(F.lit(1)).alias("n_notice_rows"))
     v = verdicts.agg(
         F.count(F.lit(1)).alias("n_verdicts"), sum_when(F.col("status") == "ok").alias("n_verdicts_ok")
-    ).withColumn("_one", F.lit(1))
-    return n.join(v, "_one").drop("_one")
+    )
+    both = n.unionByName(v, allowMissingColumns=True)
+    return both.agg(*[F.sum(c).alias(c) for c in both.columns])
 
 
 def agreement_callout(report: DataFrame) -> DataFrame:

@@ -12,10 +12,16 @@ from glasswatch.sources.ingest import require_same_schema
 from glasswatch.sources.readers import union_by_name
 
 
+def clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of one partition value in few tasks, so that each writes few files. Values that are too large for a task are
+    split at run time, small ones merged."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def truncate_reload(inputs: dict[str, DataFrame], path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace a table by all inputs in one write. With partition columns only the delivered partitions are replaced."""
     require_same_schema(inputs)
-    writer = union_by_name(*inputs.values()).write.mode("overwrite")
+    writer = clustered(union_by_name(*inputs.values()), partition_by).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
@@ -50,5 +56,5 @@ def append_rows(df: DataFrame, path: str) -> None:
 
 def write_mart(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Store a mart, one file set per partition value."""
-    writer = df.write.mode("overwrite")
+    writer = clustered(df, partition_by).write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)

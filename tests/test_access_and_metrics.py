@@ -7,7 +7,7 @@ from glasswatch.functions.expressions import first_forwarded_ip
 from glasswatch.operators import researcher as rs
 from glasswatch.operators import history, quality
 from glasswatch.plans import metrics, serving
-from glasswatch.plans.publish import publish
+from glasswatch.plans.publish import publish, read_published
 from glasswatch.sources.readers import date_spine
 
 T0 = datetime(2026, 1, 1, 10)
@@ -144,7 +144,8 @@ def test_gate(spark, tmp_path):
     assert publish(df, path, checks, ["part"]).published
     bad = publish(df.unionByName(df.filter("id = 2").selectExpr("id + 1 id", "part")), path, checks)
     assert not bad.published and bad.failures == {"unique": 0, "few": 1}
-    assert spark.read.parquet(path).count() == 2
+    assert read_published(spark, path).count() == 2
+    assert publish(df.filter("id = 1"), path, checks).published and read_published(spark, path).count() == 1
 
 
 def test_history(spark):

@@ -66,10 +66,14 @@ def test_from_bronze_to_passing_marts(spark, tmp_path):
     sheets, tables = marts.staged_sheets(_sheets(spark)), marts.staged_tables(_tables(spark))
     seed = transparency.member_state_seed(spark)
     assert seed.count() == 29
-    out = marts.store(spark, marts.transparency_marts(sheets, seed, "P"), root)
+    keep = marts.written(spark, root)
+    out = marts.transparency_marts(sheets, seed, "P", keep)
     out |= marts.store(spark, marts.safety_marts(tables), root)
-    out |= marts.store(spark, marts.verdict_marts(tables, out["fct_artificial_streaming_flags"]), root)
-    out |= marts.store(spark, marts.researcher_marts(tables), root)
+    out |= marts.verdict_marts(tables, out["fct_artificial_streaming_flags"], keep)
+    out |= marts.researcher_marts(tables, keep=keep)
+    # a mart that reads others reads what was written
+    posture = transparency.automated_vs_human(out["rpt_cross_product_summary"])
+    assert all("/rpt_cross_product_summary/" in f for f in posture.inputFiles())
     out |= sheets | tables | {"eu_member_states": seed}
     missing = set(ex.EXPECTATIONS) - set(out)
     assert missing == {"fraud_scenario_expectations"}
