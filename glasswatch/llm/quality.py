@@ -1,11 +1,14 @@
 """Quality rules whose cutoffs come from labelled documents, with a bound on how many good ones they reject.
 
-Four features are measured on every text. For each stratum (a language) and feature, a grid of cutoffs is tried on the
-labelled good documents: of ``n`` good ones ``k`` lie above the cutoff, and the exact binomial (Clopper-Pearson) upper
-bound of the rejection rate must not exceed the feature's share of the allowed rate. All tests of all strata share the
-error probability (Bonferroni), so with probability ``1 - error`` no stratum loses more than ``rate`` of its good
-documents. Of the cutoffs that pass, the one that rejects the most labelled bad documents of the other half is taken;
-labelled documents are dealt to the two halves by a hash of their id. Without enough labels a stratum has no cutoff.
+Four features are measured on every text. A stratum (a language) rejects what lies above a cutoff of any of them. Its
+rules are tried as one chain from the loosest: every step lowers one cutoff, so that each rule rejects what the one
+before rejects and more. Of ``n`` labelled good documents the joint rule rejects ``k``; the chain goes on while the exact
+binomial (Clopper-Pearson) upper bound of that rate is within the allowed rate, and ends at the first rule that isn't. Nested
+rules tried in a fixed order need no correction for the length of the chain; only the strata share the error probability, so with
+probability ``1 - error`` no stratum loses more than ``rate`` of its good documents. The order of the steps comes from
+documents other than the labelled good ones: the next step has most labelled bad documents among what it newly rejects. So
+all labels are used, good ones for the bound and bad ones for the order. A stratum without enough labels has no cutoff:
+0 of ``n`` rejected is enough from ``log(strata / error) / rate`` good ones, 218 for four strata.
 
 Null and empty texts have no words and fail the base rules. A null stratum is a stratum. Rows of ``labels`` without an id or
 a quality are ignored; of several labels for an id the lowest counts. Repeated documents are judged alike. Extra columns are
@@ -111,27 +114,58 @@ def base_failed() -> Column:
     return (F.col("n_words") < 10) | (F.lit(100) * F.col("n_repeat_words") > F.lit(20) * F.col("n_words"))
 
 
+def chain(levels: np.ndarray, bad: np.ndarray, other: np.ndarray) -> list[np.ndarray]:
+    """Rules from the loosest: per feature the place of its cutoff in CUTOFFS, ``len(CUTOFFS)`` for none.
+
+    ``levels`` has a row per kind of document, with the number of cutoffs that each feature exceeds; of a kind there are
+    ``bad`` labelled bad and ``other`` unlabelled documents. Steps that reject no more bad ones aren't taken.
+    """
+    rule, rules = np.full(len(FEATURES), len(CUTOFFS)), []
+    left = np.ones(len(levels), bool)
+    while bad[left].any():
+        steps = []
+        for f in range(len(FEATURES)):
+            # documents and bad ones that each lower cutoff of the feature would newly reject
+            reach = lambda x, f=f: np.bincount(levels[left, f], x[left], len(CUTOFFS) + 1)[::-1].cumsum()[::-1][1:]
+            b, all_ = reach(bad), reach(bad + other)
+            steps += [(b[c] / all_[c], b[c], CUTOFFS[c], -f, c) for c in range(rule[f]) if b[c]]
+        if not steps:
+            break
+        *_, f, c = max(steps)
+        rule = rule.copy()
+        rule[-f] = c
+        rules.append(rule)
+        left &= levels[:, -f] <= c
+    return rules
+
+
 def cutoffs(measured: DataFrame, labels: DataFrame, stratum: str, risk: Risk = Risk()) -> dict[tuple[str | None, str], int]:
-    """``(stratum, feature)`` to its cutoff, for those that have one. All labels are used; one row per stratum is collected."""
+    """``(stratum, feature)`` to its cutoff, for those that have one. All labels are used; of documents, counts per combination of levels are collected."""
     known = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    rows = measured.filter(~base_failed()).join(known, "doc_id")
-    half = F.xxhash64("doc_id").bitwiseAND(1)
-    good, bad = (F.col("quality") == 1) & (half == 0), (F.col("quality") == 0) & (half == 1)
+    names = list(FEATURES)
+    level = lambda value: sum((F.expr(f"{value} > {c}").cast("int") for c in CUTOFFS), F.lit(0))
+    rows = measured.filter(~base_failed() & F.col("doc_id").isNotNull()).select("doc_id", F.col(stratum).alias("_s"), *[level(v).alias(n) for n, v in FEATURES.items()])
     count = lambda c: F.count(F.when(c, 1))
-    sums = [count(good).alias("good")]
-    for name, value in FEATURES.items():
-        for cut in CUTOFFS:
-            sums += [count(good & (F.expr(value) > cut)).alias(f"good_{name}_{cut}"), count(bad & (F.expr(value) > cut)).alias(f"bad_{name}_{cut}")]
-    strata = rows.groupBy(stratum).agg(*sums).collect()
-    tests = max(1, len(strata) * len(FEATURES) * len(CUTOFFS))
+    quality = F.col("quality")
+    sums = rows.join(known, "doc_id", "left").groupBy("_s", *names).agg(
+        count(quality == 1).alias("good"), count(quality == 0).alias("bad"), count(quality.isNull()).alias("other")
+    ).toArrow()
+    levels = np.stack([sums.column(n).to_numpy() for n in names], 1).astype(np.int64).reshape(-1, len(names))
+    good, bad, other = (sums.column(n).to_numpy() for n in ("good", "bad", "other"))
+    by_stratum: dict[str | None, list[int]] = {}
+    for i, s in enumerate(sums.column("_s").to_pylist()):
+        by_stratum.setdefault(s, []).append(i)
+    tried = {s: i for s, i in by_stratum.items() if good[i].any() and bad[i].any()}
     found = {}
-    for s in strata:
-        for name in FEATURES:
-            safe = [c for c in CUTOFFS if upper_bound(s[f"good_{name}_{c}"], s["good"], risk.error / tests) <= risk.rate / len(FEATURES)]
-            # of equal ones the highest: it rejects least that isn't known to be bad
-            best = max(safe, key=lambda c: (s[f"bad_{name}_{c}"], c), default=None)
-            if best is not None and s[f"bad_{name}_{best}"]:
-                found[s[stratum], name] = best
+    for s, i in tried.items():
+        last = None
+        for rule in chain(levels[i], bad[i], other[i]):
+            rejected = (levels[i] > rule).any(1)
+            if upper_bound(int(good[i][rejected].sum()), int(good[i].sum()), risk.error / len(tried)) > risk.rate:
+                break
+            last = rule
+        if last is not None:
+            found |= {(s, n): CUTOFFS[c] for n, c in zip(names, last.tolist(), strict=True) if c < len(CUTOFFS)}
     return found
 
 

@@ -299,6 +299,27 @@ def test_cutoffs_hold_the_risk(spark):
     assert quality.upper_bound(5, 5, 0.05) == 1.0 and quality.upper_bound(0, 0, 0.05) == 1.0
 
 
+def test_cutoffs_from_a_few_hundred_labels(spark):
+    # as many labels as a language of sf0.1 has: 310 good ones without symbols, 30 bad ones with, and some unlabelled
+    measured = lambda lang, lo, good, bad: spark.range(lo, lo + good + bad + 400).select(
+        F.col("id").alias("doc_id"), F.lit(lang).alias("lang"), F.lit(100).alias("n_words"), F.lit(1000).alias("word_chars"),
+        F.when((F.col("id") - lo >= good) & (F.col("id") - lo < good + bad), 60).otherwise(F.col("id") % 9).alias("n_symbols"),
+        F.lit(0).alias("n_dup_lines"), F.lit(0).alias("n_repeat_words"), F.lit(10).alias("n_lines"), (F.col("id") % 40).alias("n_upper"),
+    )
+    rows = measured("es", 0, 310, 30).union(measured("fr", 10_000, 150, 30))
+    labels = spark.createDataFrame([(lo + i, int(i < good)) for lo, good in ((0, 310), (10_000, 150)) for i in range(good + 30)], "doc_id long, quality int")
+    cuts = quality.cutoffs(rows, labels, "lang")
+    # 0 of 310 bounds the rate of two strata at 1.2%, 0 of 150 at 2.4%
+    assert cuts == {("es", "symbol_rate"): 50}
+    assert quality.judged(rows, cuts, "lang").filter("not kept").count() == 30
+    # a bad document that looks like good ones ends the chain: 31 of 310 good ones are above it
+    alike = labels.union(spark.createDataFrame([(400, 0)], labels.schema)).withColumn("quality", F.when(F.col("doc_id") == 400, 0).otherwise(F.col("quality")))
+    assert quality.cutoffs(rows, alike, "lang") == {("es", "symbol_rate"): 50}
+    # the joint rule is bounded, not every feature for itself
+    levels, counts = np.array([[3, 0, 0, 0], [0, 5, 0, 0], [0, 0, 0, 1]]), np.array([4, 4, 0])
+    assert [r.tolist() for r in quality.chain(levels, counts, np.array([0, 1, 9]))] == [[2, 18, 18, 18], [2, 4, 18, 18]]
+
+
 def test_urls(spark):
     rows = [
         (1, "https://www.Example.com/en/1?x=/fr/"), (2, "http://example.com/en/2"), (3, "http://a.b.net/fr/#q"), (4, "http://net/es/"), (5, "nothing"),
