@@ -359,6 +359,40 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(docs, empty).count() == 0
 
 
+def lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        left = 0
+        for j, y in enumerate(b):
+            row[j + 1], left = max(row[j], row[j + 1]) if x != y else left + 1, row[j + 1]
+    return row[-1]
+
+
+def test_decontamination_reaches_every_paraphrase(spark):
+    # most words replaced are the rare ones; common ones stay, so cosines are low
+    own = np.random.default_rng(11)
+    common, rare = [f"c{i}" for i in range(12)], [f"r{i}" for i in range(3000)]
+    words = lambda n: [str(own.choice(common if own.random() < 0.4 else rare)) for _ in range(n)]
+    items = [words(int(n)) for n in own.integers(15, 60, 40)]
+    rows, want = [(i, " ".join(words(200))) for i in range(300)], set()
+    for share in (0, 0.1, 0.2, 0.3, 0.38):
+        for i, item in enumerate(items):
+            copy, d = list(item), len(rows)
+            for j in sorted(own.permutation(len(item)), key=lambda j: item[j][0] == "c")[: int(share * len(item))]:
+                copy[j] = f"x{d}y{j}"
+            rows.append((d, " ".join(words(90) + copy + words(40))))
+            assert lcs(item, copy) >= 0.6 * len(item)
+            want.add((d, i))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    found = decontaminate.contaminated(docs, benchmark, decontaminate.Limits(sure_lcs=0.6))
+    got = {(r["doc_id"], r["item_id"]): r["lcs"] for r in found.collect()}
+    assert want <= set(got)
+    texts = dict(rows)
+    for (d, i), share in got.items():
+        assert share <= round(lcs(items[i], texts[d].split()) / len(items[i]), 6)
+
+
 @pytest.mark.parametrize("name", ["ngram", "tokens", "substring", "secrets", "licenses", "files", "mixture", "quality", "urls", "leaks"])
 def test_empty_tables(spark, name):
     docs = spark.createDataFrame([], SCHEMA)
