@@ -184,6 +184,65 @@ def test_license_rules_are_ordered(spark):
     assert tuples(licenses.license_scan(df), "doc_id", "licenses") == [(1, "Apache-2.0"), (2, ""), (3, "")]
 
 
+def test_license_texts_as_published(spark):
+    mit = """MIT License
+
+Copyright (c) 2020 A. Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+    bsd2 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+    bsd3 = bsd2 + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+    gpl = """This {} is free software{} you can redistribute it and/or modify
+it under the terms of the GNU {} as published by
+the Free Software Foundation{} either version {} of the License, or
+(at your option) any later version.
+"""
+    gpl3, gpl2 = gpl.format("program", ":", "General Public License", ",", 3), gpl.format("program", ";", "General Public License", ";", 2)
+    lgpl = gpl.format("library", ";", "Lesser General Public\nLicense", ";", "2.1")
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.\n"
+    isc = "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.\n"
+    apache = "Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n"
+    texts = {
+        "MIT": mit, "BSD-2-Clause": bsd2, "BSD-3-Clause": bsd3, "GPL-3.0-or-later": gpl3, "GPL-2.0-or-later": gpl2, "LGPL-2.1-or-later": lgpl,
+        "MPL-2.0": mpl, "ISC": isc, "Apache-2.0": apache, "GPL-3.0": "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright",
+    }
+    marks = lambda t, start, end="": "\n".join(f"{start} {x}".rstrip() for x in t.split("\n")) + end
+    rows, want = [], {}
+    for name, t in texts.items():
+        forms = [t, t.replace("\n", "\r\n"), "/*\n" + marks(t, " *", "\n */\nint main;"), *(marks(t, m) for m in ("#", "//", "--", ";;"))]
+        forms += ["Some prose\n\n" + t + "\nmore prose", t.replace("1. ", "(a) ").replace("2. Red", "* Red")]
+        for form in forms:
+            want[len(rows)] = name
+            rows.append((len(rows), form))
+    for t in ("This is not released under the MIT License.", "Released under\n\nthe MIT License.", bsd2.split("2.")[0]):
+        want[len(rows)] = ""
+        rows.append((len(rows), t))
+    got = dict(tuples(licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")), "doc_id", "licenses"))
+    assert got == want
+
+
 def test_token_files(docs):
     tokenizer = Tokenizer.from_file(WORD)
     got = [tuple(r) for r in token_files.token_files(docs, WORD, block_ids=2000).orderBy("start").collect()]
