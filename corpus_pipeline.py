@@ -1,8 +1,8 @@
 """A training corpus from raw documents: quality rules, near duplicates, benchmark decontamination, mixing, token files.
 
 Every stage takes ``(spark, docs, sf_dir)`` and returns a frame that is written as Parquet and read back as the next stage's
-documents. All but the last keep the columns of ``documents``. Documents without text or id pass through the stages as the
-operators define it: texts without words fail the base rules.
+documents. All but the last keep the columns of ``documents``. The filters know a row by a hash of its columns, not by its id, so
+rows without id or with one id are each judged by their own text. Texts without words fail the base rules.
 """
 
 from __future__ import annotations
@@ -15,28 +15,40 @@ from glasswatch.llm import decontaminate, mixing, ngram_join, quality, token_fil
 from glasswatch.llm.tables import stored
 
 
-def _only(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """The documents whose id is (``left_semi``) or isn't (``left_anti``) among ``ids``; a null id matches a null id."""
-    return docs.join(ids.select(F.col("doc_id").alias("_id")), F.col("doc_id").eqNullSafe(F.col("_id")), how).select(docs.columns)
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_row``, a hash of all columns and of which are null: rows with one key are alike, whatever their ids."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return docs.withColumn("_row", F.xxhash64(*[c.isNull() for c in columns], *columns))
+
+
+def _only(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    """The documents whose key is (``left_semi``) or isn't (``left_anti``) among ``rows(_row)``."""
+    return _keyed(docs).join(rows.select("_row").distinct(), "_row", how).select(docs.columns)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the risk-controlled cutoffs; of rows with one id all must pass."""
-    verdicts = quality.quality_verdicts(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _only(docs, verdicts.filter("not kept").select("doc_id").distinct(), "left_anti")
+    """Documents that pass the base rules and the risk-controlled cutoffs; each row is judged by its own text."""
+    verdicts = quality.quality_verdicts(_keyed(docs), spark.read.parquet(f"{sf_dir}/labels.parquet"), keep=("_row",))
+    return _only(docs, verdicts.filter("not kept"), "left_anti")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked ones, that with the smallest id."""
-    groups = ngram_join.ngram_components(docs, size=5, percent=80)
-    kept = groups.filter("doc_id is null or doc_id = component_id").select("doc_id").distinct()
-    return _only(docs, kept, "left_semi")
+    """One document of each group of linked ones, that with the smallest id; one without id only if none has one. Of equal rows one."""
+    keyed = _keyed(docs)
+    groups = ngram_join.ngram_components(keyed.select(F.col("_row").alias("doc_id"), "text"), size=5, percent=80)
+    groups = groups.select(F.col("doc_id").alias("_row"), "component_id").distinct()
+    ids = keyed.select("_row", "doc_id").groupBy("_row").agg(F.first("doc_id").alias("doc_id"), F.count("*").alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row", "n"))
+    kept = stored(groups.join(ids, "_row").groupBy("component_id").agg(first.alias("f")).select("f._row", "f.n"), "kept")
+    # only rows that occur several times are moved to leave one of each
+    return _only(docs, kept.filter("n = 1"), "left_semi").union(_only(docs, kept.filter("n > 1"), "left_semi").distinct())
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    found = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _only(docs, found.select("doc_id").distinct(), "left_anti")
+    """Documents that hold no benchmark item; each row is judged by its own text."""
+    rows = _keyed(docs).select(F.col("_row").alias("doc_id"), "text")
+    found = decontaminate.contaminated(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _only(docs, found.select(F.col("doc_id").alias("_row")), "left_anti")
 
 
 def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

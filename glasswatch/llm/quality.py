@@ -177,7 +177,7 @@ def judged(measured: DataFrame, cuts: dict[tuple[str | None, str], int], stratum
     return measured.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & ~rejected)
 
 
-def quality_verdicts(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: Risk = Risk()) -> DataFrame:
-    """Per document: ``doc_id``, the stratum, the counts, ``base_failed`` and ``kept``."""
-    measured = stored(text_counts(docs, "doc_id", stratum), "measured")
+def quality_verdicts(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: Risk = Risk(), keep: tuple[str, ...] = ()) -> DataFrame:
+    """Per document: ``doc_id``, the stratum, the columns ``keep``, the counts, ``base_failed`` and ``kept``."""
+    measured = stored(text_counts(docs, "doc_id", stratum, *keep), "measured")
     return judged(measured, cutoffs(measured, labels, stratum, risk), stratum)
