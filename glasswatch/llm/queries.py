@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glasswatch.llm import (
-    decontaminate, licenses, mixing, ngram_join, quality, secret_scan, substring_dedup, token_counts, token_files, urls,
+    decontaminate, divergence, fill_middle, licenses, mixing, neighbours, ngram_join, quality, secret_scan, substring_dedup, token_counts, token_files, urls,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +118,83 @@ def labelled_urls(spark: SparkSession) -> DataFrame:
 def op10_url_filter(spark, sf_dir):
     out = urls.url_verdicts(table(spark, sf_dir, "pages"), URL_RULES, labelled_urls(spark))
     return out.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+@query
+def op11_nearest_neighbours(spark, sf_dir):
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@query
+def op12_fill_in_middle(spark, sf_dir):
+    out = fill_middle.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    whole = F.sha2(fill_middle.restored("output", "form"), 256).alias("restored_sha256")
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), whole)
+
+
+ORACLES["op12_fill_in_middle"] = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, ''))::BIGINT AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+), g AS (
+    SELECT *, ('0x' || h[1:8])::BIGINT % (n + 1) AS a, ('0x' || h[9:16])::BIGINT % (n + 1) AS b,
+        ('0x' || h[17:24])::BIGINT % 100 AS c, ('0x' || h[25:32])::BIGINT % 100 AS e
+    FROM d
+), f AS (
+    SELECT *, least(a, b) AS lo, greatest(a, b) AS hi,
+        CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR c >= 90 THEN 'plain'
+            WHEN e < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM g
+), p AS (
+    SELECT *, substring(text, 1, lo) AS pre, substring(text, lo + 1, hi - lo) AS mid, substring(text, hi + 1, n - hi) AS suf FROM f
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN lo END AS prefix_chars, CASE WHEN form <> 'plain' THEN hi - lo END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+    sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+@query
+def op13_source_divergence(spark, sf_dir):
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_source_divergence"] = r"""
+WITH d AS (
+    SELECT coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS doc FROM documents
+), t AS (
+    SELECT doc, lang, source, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM d
+), kept AS (
+    SELECT lang, term, count(*) AS total FROM t GROUP BY lang, term HAVING count(DISTINCT doc) >= 10
+), langs AS (
+    SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY lang
+), counts AS (
+    SELECT lang, source, term, count(*) AS c FROM t JOIN kept USING (lang, term) GROUP BY lang, source, term
+), held AS (
+    SELECT lang, source, sum(c) AS n FROM counts GROUP BY lang, source
+), groups AS (
+    SELECT g.lang, g.source, coalesce(h.n, 0) AS n, coalesce(l.v, 0) AS v, l.n AS lang_n
+    FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN held h USING (lang, source) LEFT JOIN langs l ON l.lang = g.lang
+), p AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c,
+        (1 + (1000000000::HUGEINT * (coalesce(c.c, 0) + 2)) // (g.n + 2 * g.v))::BIGINT AS p,
+        (1 + (1000000000::HUGEINT * (k.total + 2)) // (g.lang_n + 2 * g.v))::BIGINT AS q
+    FROM groups g JOIN kept k ON k.lang = g.lang LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), sums AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+), terms AS (
+    SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value FROM p WHERE c > 0 AND p > q
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+    FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
