@@ -63,9 +63,9 @@ def exceptions(data: np.ndarray) -> Exceptions:
 
 def check_markers(markers: Markers) -> None:
     """Raise if a marker is empty, holds another one, or may overlap one: then a seam could hold a marker."""
-    for a in markers:
-        others = [b for b in markers if b is not a]
-        if not a or any(a in b for b in others) or any(b.startswith(a[i:]) for b in markers for i in range(1, len(a))):
+    for i, a in enumerate(markers):
+        others = markers[:i] + markers[i + 1 :]
+        if not a or any(a in b for b in others) or any(b.startswith(a[j:]) for b in markers for j in range(1, len(a))):
             raise ValueError(f"markers {tuple(markers)} can't be told apart")
 
 
@@ -129,7 +129,9 @@ def fill_in_middle(docs: DataFrame, markers: Markers = Markers(), plain_percent:
                 kept = [c.slice(chunk.lo, chunk.hi - chunk.lo) for c in b.columns[2:]]
                 yield pa.RecordBatch.from_arrays(kept + rearranged(chunk, keys[chunk.lo : chunk.hi]), own + names)
 
-    picked = docs.select(F.col("doc_id").cast("string").alias("_key"), F.col("text"), *[F.col(f"`{c}`") for c in own])
+    # numbered inside, so that no own column clashes with them
+    inner = [F.col("doc_id").cast("string"), F.col("text"), *[F.col(f"`{c}`") for c in own]]
+    picked = docs.select(*[c.alias(f"_{i}") for i, c in enumerate(inner)])
     schema = docs.select(*[F.col(f"`{c}`") for c in own]).schema
     for name in names:
         schema = schema.add(name, "string" if name in ("form", "output") else "long")
