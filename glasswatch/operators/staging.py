@@ -120,6 +120,7 @@ def _quality_kind(indicator: Column) -> Column:
 
 # --- play events, moderation, verdicts, researcher log -----------------------------------------------------------
 
+# fixed values: columns of the tables, how they are cast, and their staged names
 TABLES: dict[str, list[Triple]] = {
     "users": _same("text", "user_id") + [("country", "text", "country_iso2")] + _same("text", "plan_type")
     + _same("timestamp", "signup_ts") + _same("text", "age_band", "household_id"),

@@ -84,6 +84,7 @@ def _value_where(condition: Column, name: str) -> Column:
 
 def automated_quality(means: DataFrame) -> DataFrame:
     """Indicator rows of the automated-means sheet as columns, per product, period and scope."""
+    # fixed values: beginnings of the indicators' wording
     kind, indicator = _c("quality_metric_kind"), _c("indicator")
     return means.groupBy(*PRODUCT_PERIOD, "scope").agg(
         _value_where(kind == "accuracy", "accuracy"),
@@ -98,6 +99,7 @@ def automated_quality(means: DataFrame) -> DataFrame:
 
 def appeals_wide(appeals: DataFrame) -> DataFrame:
     """Indicator rows of the appeals sheet as columns, per product and period."""
+    # fixed values: what the indicators' wording holds
     indicator = _c("indicator")
     return appeals.groupBy(*PRODUCT_PERIOD).agg(
         _value_where(indicator.like("Number of complaints submitted%"), "complaints_submitted"),

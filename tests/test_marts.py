@@ -88,7 +88,7 @@ def test_from_bronze_to_passing_marts(spark, tmp_path):
 
 def test_failures_are_counted(spark):
     df = spark.createDataFrame([(1, "a", 5), (1, None, 50), (None, "c", 7)], "id int, v string, n int")
-    expect = ex.Expect("id v", "id", {"v": ("a", "b")}, {"n": (0, 10)}, {"id": ("parent", "id")})
+    expect = ex.Expect(("id", "v"), ("id",), {"v": ("a", "b")}, {"n": (0, 10)}, {"id": ("parent", "id")})
     got = {r[0]: r[1] for r in ex.check_table(df, expect, {"parent": df.filter("id = 2")}).collect()}
     assert got == {"not_null:id": 1, "not_null:v": 1, "accepted_values:v": 1, "between:n": 1, "unique:id": 1, "relationships:id": 1}
 

@@ -154,8 +154,13 @@ def test_category_levels(spark):
 def test_products(spark):
     df = spark.createDataFrame([("main",), ("artists",), ("main",), ("else",), (None,)], "product_line string")
     got = {r["product_id"]: tuple(r)[1:] for r in tr.dim_products(df, "P").collect()}
-    assert got == {"main": ("P Main", "music_streaming", "consumer"),
-                   "artists": ("P for Artists", "music_artist_platform", "creator"), "else": (None, None, None)}
+    assert got == {
+        "main": ("P Main", "music_streaming", "consumer"),
+        "artists": ("P for Artists", "music_artist_platform", "creator"),
+        "authors": ("P for Authors", "audiobook_author_platform", "creator"),
+        "creators": ("P for Creators", "podcast_creator_platform", "creator"),
+        "else": (None, None, None),
+    }
 
 
 def _summary(spark, sheets, **kw):
