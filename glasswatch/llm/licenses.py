@@ -3,7 +3,7 @@
 Licence texts are wrapped and stand in comments, so marks before a line's first letter or digit are taken off, and a text is cut at
 blank lines and after full stops, semicolons and colons that white space follows. A known sentence may run over single line feeds,
 and may begin or end at one. A sentence is folded to lower-case letters and digits with single blanks between; ``<name>`` in a
-known one stands for up to NAME_WORDS words. Known sentences map to an identifier;
+known one stands for any number of words. Known sentences map to an identifier;
 the identifiers of a text, in order, form a sequence in which each licence's rule must occur as a run. A rule contained
 in a longer one at the same place does not fire there on its own.
 
@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 
 #: Sentence ends, and line feeds within or between sentences, in a folded text.
 END, LINE = "\x01", "\x02"
-NAME_WORDS = 12
 KEY_WORDS = ("licen", "copyright", "permission", "warrant", "redistribut", "public domain")
 
 
@@ -114,7 +113,7 @@ def folded_column(text: str) -> Column:
 def sentence_pattern(sentence: str) -> str:
     """A regular expression of a folded sentence, which may be wrapped."""
     between = f"[ {LINE}]"
-    return between.join(f"[a-z0-9]+(?:{between}[a-z0-9]+){{0,{NAME_WORDS - 1}}}?" if w == "<name>" else w for w in sentence.split(" "))
+    return between.join(f"[a-z0-9][a-z0-9 {LINE}]*?" if w == "<name>" else w for w in sentence.split(" "))
 
 
 def compiled(rules: tuple[Rule, ...]) -> tuple[dict[str, int], list[tuple[str, tuple[int, ...]]]]:

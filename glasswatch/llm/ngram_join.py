@@ -83,17 +83,18 @@ def set_sizes(docs: DataFrame, size: int = 4) -> DataFrame:
 def frequent_ngrams(docs: DataFrame, size: int, limit: int = FREQUENT) -> tuple[np.ndarray, int]:
     """The n-grams in the most documents, rarest first, as the top bits of their hashes, and the number of these bits.
 
-    All n-grams of all documents are counted, hash range by hash range; each range names its share of ``limit``.
+    All n-grams of all documents are counted, hash range by hash range; each range names its share of ``limit``. Where there
+    are more ranges than that, every so many-th range names one, so the list never grows beyond ``limit``.
     """
     parts, total = ranges_for(docs)
     bits = max(hash_bits(total), parts.bit_length() + 8)
     below = U(bits - (parts.bit_length() - 1))
-    share = max(1, limit // parts)
+    share, every = max(1, limit // parts), max(1, -(-parts // limit))
 
     def flush(held):
         v = np.sort(np.concatenate(held))
         cuts = np.searchsorted(v, np.arange(parts + 1, dtype=U) << below)
-        rows = [(p, pack(v[a:b])) for p, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
+        rows = [(p, pack(v[a:b])) for p, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a and p % every == 0]
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["part", "blob"])
 
     def spread(batches):

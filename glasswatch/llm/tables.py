@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,12 +16,45 @@ import glasswatch
 from glasswatch.session import new_path
 
 _shipped: set[str] = set()
+#: By application: the work folder of the stage that is being planned, and those of earlier ones.
+_current: dict[str, str] = {}
+_earlier: dict[str, list[str]] = {}
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this package wrote, through the file system it lies in."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def work_folder(spark: SparkSession, docs: DataFrame) -> Iterator[None]:
+    """Let ``stored`` write to a folder of its own, and first delete the folders of earlier stages that ``docs`` doesn't read.
+
+    For jobs in stages, whose results are written before the next stage begins: nothing needs the earlier tables any more. Frames that
+    nobody holds go with them, and with these Spark drops their shuffle files.
+    """
+    app = spark.sparkContext.applicationId
+    earlier = _earlier.setdefault(app, [])
+    if earlier:
+        read = docs.inputFiles()
+        for folder in [e for e in earlier if not any(e in f for f in read)]:
+            delete(spark, folder)
+            earlier.remove(folder)
+        gc.collect()
+        spark._jvm.System.gc()
+    _current[app] = new_path(spark, "llm-stage")
+    try:
+        yield
+    finally:
+        earlier.append(_current.pop(app))
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to a new path under ``spark.checkpoint.dir`` and read it back: lineage ends here, and a lost executor costs a re-read."""
     spark = df.sparkSession
-    path = new_path(spark, f"llm-{name}")
+    folder = _current.get(spark.sparkContext.applicationId)
+    path = f"{folder}/{name}-{uuid.uuid4().hex}" if folder else new_path(spark, f"llm-{name}")
     schema = df.schema
     df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)

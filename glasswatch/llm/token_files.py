@@ -285,7 +285,9 @@ def write_blocks(tokens: DataFrame, table, kind: np.dtype, block_ids: int = BLOC
         if held:
             yield flush()
 
-    ordered = tokens.select("doc_id", "ids").repartitionByRange("doc_id", "ids").sortWithinPartitions("doc_id", "ids")
+    # ranges are sampled by a hash, so that no ids go to the driver; ids of one document id are sorted where they meet
+    tie = F.xxhash64("ids")
+    ordered = tokens.select("doc_id", "ids").repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie, "ids")
     return stored(ordered.mapInArrow(run, BLOCK_COLUMNS), "token-blocks")
 
 
