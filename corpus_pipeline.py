@@ -1,8 +1,8 @@
 """A training corpus from raw documents: quality rules, near duplicates, benchmark decontamination, mixing, token files.
 
 Every stage takes ``(spark, docs, sf_dir)`` and returns a frame that is written as Parquet and read back as the next stage's
-documents. All but the last keep the columns of ``documents``, whatever they are called. Quality rules and decontamination judge a row in the
-pass that reads its text; near duplicates know a row by a hash of its columns. So rows without id or with one id are each judged by their own
+documents. All but the last keep the columns of ``documents``, whatever they are called. Decontamination judges a row in the
+pass that reads its text; the others know a row by a hash of its columns. So rows without id or with one id are each judged by their own
 text. Texts without words fail the base rules; texts of any length are read whole. Empty tables give empty results.
 
 A stage's work tables are deleted when the next stage begins, by which time its result is written.
@@ -49,7 +49,10 @@ def _only(docs: DataFrame, key: str, rows: DataFrame, how: str) -> DataFrame:
 @in_work_folder
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the risk-controlled cutoffs; each row is judged by its own text."""
-    return quality.passing(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    key = free_name(docs, "_row")
+    keyed = _keyed(docs, key).withColumn("_row", F.col(f"`{key}`"))
+    verdicts = quality.quality_verdicts(keyed, spark.read.parquet(f"{sf_dir}/labels.parquet"), keep=("_row",))
+    return _only(docs, key, stored(verdicts.filter("not kept").select("_row").distinct(), "rejected"), "left_anti")
 
 
 @in_work_folder

@@ -103,7 +103,7 @@ def frequent_ngrams(docs: DataFrame, size: int, limit: int = FREQUENT) -> tuple[
             for _, _, h in _sets(b.column(0), size):
                 held.append(h >> U(64 - bits))
                 n += len(h)
-                if n >= 1 << 22:
+                if n >= 1 << 21:
                     yield flush(held)
                     held, n = [], 0
         if n:

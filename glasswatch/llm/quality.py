@@ -181,16 +181,3 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, stratum: str = "lang",
     """Per document: ``doc_id``, the stratum, the columns ``keep``, the counts, ``base_failed`` and ``kept``."""
     measured = stored(text_counts(docs, "doc_id", stratum, *keep), "measured")
     return judged(measured, cutoffs(measured, labels, stratum, risk), stratum)
-
-
-def passing(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: Risk = Risk()) -> DataFrame:
-    """The rows of ``docs`` that are kept, with their own columns.
-
-    Texts are counted twice: for the cutoffs, and again beside the rows, so that no text is shuffled to meet its verdict.
-    """
-    measured = stored(text_counts(docs, "doc_id", stratum), "measured")
-    cuts = cutoffs(measured, labels, stratum, risk)
-    numbers = {c: f"_{i}" for i, c in enumerate(docs.columns)}
-    inner = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in numbers.items()], "text")
-    kept = judged(text_counts(inner, *numbers.values()), cuts, numbers[stratum]).filter("kept")
-    return kept.select(*[F.col(n).alias(c) for c, n in numbers.items()])
