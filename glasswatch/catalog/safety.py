@@ -1,8 +1,11 @@
 """Signals and flags."""
 
+from pyspark.sql import functions as F
+
 from glasswatch.catalog import tables as t
 from glasswatch.catalog.registry import cte, register
-from glasswatch.operators import signals
+from glasswatch.operators import daily, signals
+from glasswatch.session import new_path
 
 _C = t.SIGNALS
 _RECENT = f"TIMESTAMP '{_C.recent_from}'"
@@ -129,3 +132,28 @@ register(
     "fct_artificial_streaming_flags", t.computed_flags, "SELECT * FROM flags", "flags",
     rounded="composite_suspicion_score " + " ".join(f"{n}_severity" for n in _NAMES), times="built_at",
 )
+
+
+def _daily(s, d):
+    """Plays in two deliveries that share days, the second loaded twice; what lies before the spike's window rolled up."""
+    root, rolled = new_path(s, "daily"), new_path(s, "daily_rolled")
+    plays = t.streams(s, d)
+    second = F.pmod(F.xxhash64("session_id", "track_id"), F.lit(3)) == 0
+    daily.add_delivery(plays.filter(~second), root, "first")
+    daily.add_delivery(plays.filter(second & (F.col("track_id") > 5)), root, "second")
+    daily.add_delivery(plays.filter(second), root, "second")
+    daily.roll_up(s, root, rolled, _C.window_from.date())
+    return rolled
+
+
+register(
+    "fct_flags_from_daily_counts",
+    lambda s, d: signals.flags_of(daily.fold(s, _daily(s, d), _C), t.users(s, d), t.tracks(s, d), t.artists(s, d), _C),
+    "SELECT * FROM flags", "flags",
+    rounded="composite_suspicion_score " + " ".join(f"{n}_severity" for n in _NAMES), times="built_at",
+)
+register(
+    "sig_recent_listens", lambda s, d: daily.recent_listens(s, _daily(s, d), _C),
+    f"SELECT track_id, CAST(CAST(streamed_at AS DATE) AS VARCHAR) AS day, count(*) AS n FROM streams WHERE streamed_at >= {_WINDOW} GROUP BY ALL",
+    "streams",
+)

@@ -6,10 +6,15 @@ Inputs are the staged tables: streams (track_id, user_id, streamed_at, stream_co
 Every per-track number is a count, sum, max or min, so each step combines on the map side before it shuffles, and a
 track holding a large share of all plays costs one partial row per task. Nothing is ranked in a window and no side is
 broadcast by hint; AQE picks broadcast joins from measured sizes and splits skewed join partitions.
+
+All five signals follow from three aggregates of the plays, ``per_listener``, ``per_country`` and ``session_pairs``. Whoever needs
+several of them writes the aggregates once (``PlayCounts``); ``operators.daily`` keeps them per day.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +45,46 @@ def _entity() -> Column:
     return F.lit("track").alias("entity_kind")
 
 
+# --- aggregates of the plays -----------------------------------------------------------------------------------
+
+
+class PlayCounts(NamedTuple):
+    """What the signals need of the plays.
+
+    ``listeners``: ``track_id, user_id, n``; ``countries``: ``track_id, stream_country_iso2, n, recent, baseline``;
+    ``pairs``: distinct ``session_id, track_id``, neither of them NULL.
+    """
+
+    listeners: DataFrame
+    countries: DataFrame
+    pairs: DataFrame
+
+
+def per_listener(streams: DataFrame) -> DataFrame:
+    """Plays of each user on each track."""
+    return streams.groupBy("track_id", "user_id").agg(_rows().alias("n"))
+
+
+def per_country(streams: DataFrame, cfg: SignalConfig) -> DataFrame:
+    """Plays of each track from each country: all, recent ones, and those of the days before."""
+    recent = _in_recent(cfg)
+    return streams.groupBy("track_id", "stream_country_iso2").agg(
+        _rows().alias("n"),
+        count_when(recent).alias("recent"),
+        count_when(_in_window(cfg) & ~recent).alias("baseline"),
+    )
+
+
+def session_pairs(streams: DataFrame) -> DataFrame:
+    """Each track once for each session it was played in."""
+    # the joins below drop NULLs; saying so here keeps the pairs the same for both, so they are shuffled once
+    return streams.select("session_id", "track_id").filter("session_id is not null and track_id is not null").distinct()
+
+
+def play_counts(streams: DataFrame, cfg: SignalConfig = SignalConfig()) -> PlayCounts:
+    return PlayCounts(per_listener(streams), per_country(streams, cfg), session_pairs(streams))
+
+
 # --- listen spike ----------------------------------------------------------------------------------------------
 
 
@@ -52,14 +97,24 @@ def _spike_ratio(recent: Column, baseline: Column, cfg: SignalConfig) -> Column:
 def listen_spike(streams: DataFrame, cfg: SignalConfig = SignalConfig()) -> DataFrame:
     """Plays per day in the recent window against the days before it; fires strictly above the multiplier."""
     recent = _in_recent(cfg)
-    per_track = (
+    return spike_of(
         streams.filter(_in_window(cfg))
         .groupBy("track_id")
-        .agg(count_when(recent).alias("recent_streams"), count_when(~recent).alias("baseline_streams"))
-        .filter("recent_streams > 0")
+        .agg(count_when(recent).alias("recent_streams"), count_when(~recent).alias("baseline_streams")),
+        cfg,
     )
+
+
+def listen_spike_of(countries: DataFrame, cfg: SignalConfig = SignalConfig()) -> DataFrame:
+    """The same from ``per_country``."""
+    return spike_of(
+        countries.groupBy("track_id").agg(F.sum("recent").alias("recent_streams"), F.sum("baseline").alias("baseline_streams")), cfg
+    )
+
+
+def spike_of(per_track: DataFrame, cfg: SignalConfig) -> DataFrame:
     ratio = F.col("spike_ratio")
-    return per_track.withColumn(
+    return per_track.filter("recent_streams > 0").withColumn(
         "spike_ratio", _spike_ratio(F.col("recent_streams"), F.col("baseline_streams"), cfg)
     ).select(
         "track_id",
@@ -105,10 +160,15 @@ def geo_anomaly(
     streams: DataFrame, tracks: DataFrame, artists: DataFrame, cfg: SignalConfig = SignalConfig()
 ) -> DataFrame:
     """Share of the strongest country per track; fires when it is high, well supported and not the artist's home."""
+    return geo_anomaly_of(streams.groupBy("track_id", "stream_country_iso2").agg(_rows().alias("n")), tracks, artists, cfg)
+
+
+def geo_anomaly_of(
+    countries: DataFrame, tracks: DataFrame, artists: DataFrame, cfg: SignalConfig = SignalConfig()
+) -> DataFrame:
+    """The same from plays per track and country."""
     per_track = (
-        streams.groupBy("track_id", "stream_country_iso2")
-        .agg(_rows().alias("n"))
-        .groupBy("track_id")
+        countries.groupBy("track_id")
         .agg(
             _top_country().alias("top_country"),
             F.max("n").alias("top_country_streams"),
@@ -143,10 +203,13 @@ def _ratio_fires(cfg: SignalConfig) -> Column:
 def stream_to_listener_ratio(streams: DataFrame, cfg: SignalConfig = SignalConfig()) -> DataFrame:
     """Plays per distinct listener of a track."""
     # two plain aggregates: the first is spread over (track, user), the second adds one partial row per task
+    return ratio_of(per_listener(streams), cfg)
+
+
+def ratio_of(listeners: DataFrame, cfg: SignalConfig = SignalConfig()) -> DataFrame:
+    """The same from ``per_listener``."""
     per_track = (
-        streams.groupBy("track_id", "user_id")
-        .agg(_rows().alias("n"))
-        .groupBy("track_id")
+        listeners.groupBy("track_id")
         .agg(F.sum("n").alias("total_streams"), F.count("user_id").alias("distinct_listeners"))
         .withColumn("streams_per_listener", safe_ratio(F.col("total_streams"), F.col("distinct_listeners")))
     )
@@ -182,11 +245,14 @@ def repeat_listener_concentration(
     streams: DataFrame, users: DataFrame, cfg: SignalConfig = SignalConfig()
 ) -> DataFrame:
     """Herfindahl index of a track's plays over households."""
+    # plays of a user on a track collapse before the join, so a heavy user brings few rows into it
+    return concentration_of(per_listener(streams), users, cfg)
+
+
+def concentration_of(listeners: DataFrame, users: DataFrame, cfg: SignalConfig = SignalConfig()) -> DataFrame:
+    """The same from ``per_listener``."""
     per_track = (
-        # plays of a user on a track collapse before the join, so a heavy user brings few rows into it
-        streams.groupBy("track_id", "user_id")
-        .agg(_rows().alias("n"))
-        .join(users.select("user_id", "household_id"), "user_id")
+        listeners.join(users.select("user_id", "household_id"), "user_id")
         .groupBy("track_id", "household_id")
         .agg(F.sum("n").alias("n"))
         .groupBy("track_id")
@@ -218,12 +284,14 @@ def playlist_stuffing(streams: DataFrame, tracks: DataFrame, cfg: SignalConfig =
 
     Only firing tracks appear. A track labelled both ways counts as generated once; an unknown label does not count.
     """
+    return stuffing_of(session_pairs(streams), tracks, cfg)
+
+
+def stuffing_of(pairs: DataFrame, tracks: DataFrame, cfg: SignalConfig = SignalConfig()) -> DataFrame:
+    """The same from ``session_pairs``: a track looped in one session, or a huge number of plays of one track, is one row there."""
     labels = tracks.groupBy("track_id").agg(
         F.max(flag(F.col("ai_generated_label"))).alias("ai")
     ).filter(F.col("track_id").isNotNull())
-    # Distinct pairs first: a track looped in one session, or a huge number of plays of one track, shrink to one row.
-    # Both joins below drop NULLs; saying so here keeps the pairs the same for both, so they are shuffled once.
-    pairs = streams.select("session_id", "track_id").filter("session_id is not null and track_id is not null").distinct()
     share = F.try_divide(F.col("ai_tracks").cast("double"), F.col("distinct_tracks"))
     stuffed = (
         spread_join(pairs, labels, ["track_id"], spread_by=["session_id"])
@@ -258,31 +326,24 @@ def playlist_stuffing(streams: DataFrame, tracks: DataFrame, cfg: SignalConfig =
 # --- composite -------------------------------------------------------------------------------------------------
 
 
-def _listener_profile(streams: DataFrame, users: DataFrame, cfg: SignalConfig) -> DataFrame:
-    """Listener ratio and household concentration of every streamed track, from one (track, user) aggregate."""
-    # a user id listed twice counts in each of its households, but its plays are the track's only once
-    known = users.groupBy("user_id").agg(F.collect_list(F.struct("household_id")).alias("_homes"))
-    once = F.col("_home").isNull() | (F.col("_home") == 0)
-    total, listeners = F.col("total_streams"), F.col("distinct_listeners")
-    per_track = (
-        streams.groupBy("track_id", "user_id")
-        .agg(_rows().alias("n"))
-        .join(known, "user_id", "left")
-        .select("track_id", "user_id", "n", F.posexplode_outer("_homes").alias("_home", "_h"))
-        .groupBy("track_id", F.col("_h.household_id").alias("household_id"), F.col("_home").isNotNull().alias("_known"))
-        .agg(
-            F.sum("n").alias("n"),
-            F.sum(F.when(once, F.col("n"))).alias("plays"),
-            F.count(F.when(once, F.col("user_id"))).alias("listeners"),
-        )
+def _listener_profile(listeners: DataFrame, users: DataFrame, cfg: SignalConfig) -> DataFrame:
+    """Listener ratio and household concentration of every streamed track, from plays per listener.
+
+    A user id listed twice counts in each of its households, but its plays are the track's only once: so the track's own
+    counts come from the listeners, those of households from their join with the users. Users without id join with nothing.
+    """
+    total, count = F.col("total_streams"), F.col("distinct_listeners")
+    own = listeners.groupBy("track_id").agg(F.sum("n").alias("total_streams"), F.count("user_id").alias("distinct_listeners"))
+    homes = (
+        listeners.join(users.select("user_id", "household_id"), "user_id")
+        .groupBy("track_id", "household_id")
+        .agg(F.sum("n").alias("n"))
         .groupBy("track_id")
-        .agg(
-            F.sum("plays").alias("total_streams"),
-            F.sum("listeners").alias("distinct_listeners"),
-            F.sum(F.when(F.col("_known"), F.col("n"))).alias("_hh_total"),
-            F.sum(F.when(F.col("_known"), _squared(F.col("n")))).alias("_squares"),
-        )
-        .withColumn("streams_per_listener", safe_ratio(total, listeners))
+        .agg(F.sum("n").alias("_hh_total"), F.sum(_squared(F.col("n"))).alias("_squares"))
+    )
+    per_track = (
+        own.join(homes, "track_id", "left")
+        .withColumn("streams_per_listener", safe_ratio(total, count))
         .withColumn("_hhi", _hhi(F.col("_squares"), F.col("_hh_total")))
     )
     in_households = F.col("_hh_total").isNotNull()
@@ -295,17 +356,10 @@ def _listener_profile(streams: DataFrame, users: DataFrame, cfg: SignalConfig) -
     )
 
 
-def _country_profile(streams: DataFrame, tracks: DataFrame, artists: DataFrame, cfg: SignalConfig) -> DataFrame:
-    """Spike and geo signal of every streamed track, from one (track, country) aggregate."""
-    recent = _in_recent(cfg)
+def _country_profile(countries: DataFrame, tracks: DataFrame, artists: DataFrame, cfg: SignalConfig) -> DataFrame:
+    """Spike and geo signal of every streamed track, from plays per country."""
     per_track = (
-        streams.groupBy("track_id", "stream_country_iso2")
-        .agg(
-            _rows().alias("n"),
-            count_when(recent).alias("recent"),
-            count_when(_in_window(cfg) & ~recent).alias("baseline"),
-        )
-        .groupBy("track_id")
+        countries.groupBy("track_id")
         .agg(
             _top_country().alias("top_country"),
             F.max("n").alias("_top"),
@@ -377,14 +431,21 @@ def artificial_streaming_flags(
     All five signals only name streamed tracks, and the listener profile has every one of them, so it is the spine.
     The three profiles end in an aggregate by track and are joined on it without another shuffle.
     """
-    stuffing = playlist_stuffing(streams, tracks, cfg).select(
+    return flags_of(play_counts(streams, cfg), users, tracks, artists, cfg)
+
+
+def flags_of(
+    counts: PlayCounts, users: DataFrame, tracks: DataFrame, artists: DataFrame, cfg: SignalConfig = SignalConfig()
+) -> DataFrame:
+    """The same from the aggregates of the plays."""
+    stuffing = stuffing_of(counts.pairs, tracks, cfg).select(
         "track_id",
         F.col("fires").alias("playlist_stuffing_fires"),
         F.col("severity").alias("playlist_stuffing_severity"),
     )
     signals = (
-        _listener_profile(streams, users, cfg)
-        .join(_country_profile(streams, tracks, artists, cfg), "track_id", "left")
+        _listener_profile(counts.listeners, users, cfg)
+        .join(_country_profile(counts.countries, tracks, artists, cfg), "track_id", "left")
         .join(stuffing, "track_id", "left")
     )
     return score_flags(signals, cfg)

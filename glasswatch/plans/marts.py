@@ -94,14 +94,16 @@ def transparency_marts(stg: Tables, member_states: DataFrame, platform: str, kee
 
 
 def safety_marts(stg: Tables, cfg: SignalConfig = SignalConfig(), keep: Keep = described) -> Tables:
+    """Signals and flags. Plays are read for three aggregates, which ``keep`` may store; all six marts come from these."""
     streams, users, tracks, artists = (stg[f"stg_synth_{n}"] for n in ("streams", "users", "tracks", "artists"))
+    counts = signals.PlayCounts(*(keep(f"int_plays_{n}", df) for n, df in signals.play_counts(streams, cfg)._asdict().items()))
     marts = {
-        "sig_listen_spike": signals.listen_spike(streams, cfg),
-        "sig_geo_anomaly": signals.geo_anomaly(streams, tracks, artists, cfg),
-        "sig_stream_to_listener_ratio": signals.stream_to_listener_ratio(streams, cfg),
-        "sig_repeat_listener_concentration": signals.repeat_listener_concentration(streams, users, cfg),
-        "sig_playlist_stuffing": signals.playlist_stuffing(streams, tracks, cfg),
-        "fct_artificial_streaming_flags": signals.artificial_streaming_flags(streams, users, tracks, artists, cfg),
+        "sig_listen_spike": signals.listen_spike_of(counts.countries, cfg),
+        "sig_geo_anomaly": signals.geo_anomaly_of(counts.countries, tracks, artists, cfg),
+        "sig_stream_to_listener_ratio": signals.ratio_of(counts.listeners, cfg),
+        "sig_repeat_listener_concentration": signals.concentration_of(counts.listeners, users, cfg),
+        "sig_playlist_stuffing": signals.stuffing_of(counts.pairs, tracks, cfg),
+        "fct_artificial_streaming_flags": signals.flags_of(counts, users, tracks, artists, cfg),
     }
     return {name: keep(name, df) for name, df in marts.items()}
 

@@ -96,7 +96,7 @@ def test_failures_are_counted(spark):
 def test_number_of_declared_tests():
     all_ = ex.EXPECTATIONS.values()
     counts = (
-        sum(len(e.not_null.split()) for e in all_), sum(len(e.unique.split()) for e in all_),
+        sum(len(e.not_null) for e in all_), sum(len(e.unique) for e in all_),
         sum(len(e.accepted) for e in all_), sum(len(e.found_in) for e in all_), sum(len(e.between) for e in all_),
     )
     assert counts == (122, 29, 50, 9, 6)
