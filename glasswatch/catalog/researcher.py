@@ -7,6 +7,7 @@ from glasswatch.catalog import transparency as trc
 from glasswatch.catalog import verdicts as vc
 from glasswatch.catalog.registry import cte, register, round_sql
 from glasswatch.config import RateLimit
+from glasswatch.operators import attempts
 from glasswatch.operators import researcher as rs
 from glasswatch.operators import transparency as tr
 from glasswatch.plans import serving
@@ -58,6 +59,24 @@ register(
     "FROM requests)",
     "requests", times="requested_at",
 )
+#: wide enough for rejections among the given events
+ATTEMPTS = RateLimit(requests=3, minutes=24 * 60)
+ATTEMPTS_SQL = f"""SELECT * FROM (WITH RECURSIVE numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY key_id ORDER BY requested_at, query_id) AS i FROM requests
+), run AS (
+    SELECT query_id, key_id, requested_at, i, CAST(0 AS BIGINT) AS n_recent, [requested_at] AS held FROM numbered WHERE i = 1
+    UNION ALL
+    SELECT query_id, key_id, requested_at, i, CAST(len(kept) AS BIGINT),
+        CASE WHEN len(kept) < {ATTEMPTS.requests} THEN list_append(kept, requested_at) ELSE kept END
+    FROM (SELECT n.*, list_filter(r.held, lambda x: x >= n.requested_at - INTERVAL {ATTEMPTS.minutes} MINUTE) AS kept
+        FROM run r JOIN numbered n ON n.key_id IS NOT DISTINCT FROM r.key_id AND n.i = r.i + 1)
+)
+SELECT query_id, key_id, requested_at, n_recent, n_recent >= {ATTEMPTS.requests} AS is_rejected FROM run)"""
+register(
+    "rate_limit_attempts",
+    lambda s, d: attempts.decided(t.requests(s, d).select("query_id", "key_id", "requested_at"), ATTEMPTS),
+    ATTEMPTS_SQL, "requests", times="requested_at",
+)
 register(
     "serve_key_check",
     lambda s, d: rs.key_check(t.requests(s, d).select("query_id", "key_id"), t.keys(s, d)),

@@ -1,8 +1,12 @@
 """Streaming jobs over the request log, run to the end of what is there."""
 
+from pyspark.sql import functions as F
+
 from glasswatch.catalog import tables as t
 from glasswatch.catalog.registry import register
+from glasswatch.catalog.researcher import ATTEMPTS, ATTEMPTS_SQL
 from glasswatch.config import RateLimit
+from glasswatch.operators import attempts
 from glasswatch.operators.staging import stage_table
 from glasswatch.schemas import BRONZE
 from glasswatch.session import new_path
@@ -49,3 +53,19 @@ register(
     "range(15) r(m)) GROUP BY ALL",
     "requests", times="window_start window_end",
 )
+
+
+def _attempts(s, d):
+    """The log in three files, one after the other, each read by a new run from the checkpoint of the one before."""
+    log = t.requests(s, d).select("query_id", "key_id", "requested_at")
+    folder, out, checkpoint = (new_path(s, f"attempts_{n}") for n in ("in", "out", "checkpoint"))
+    first, second = log.select(F.unix_seconds(F.col("requested_at").cast("timestamp")).alias("x")).approxQuantile("x", [0.3, 0.7], 0.01)
+    at = F.unix_seconds(F.col("requested_at").cast("timestamp"))
+    for part in (at < first, (at >= first) & (at < second), at >= second):
+        log.filter(part).write.mode("append").parquet(folder)
+        stream = rq.read_files(s, folder, log.schema)
+        rq.append_to(attempts.decided_stream(stream, ATTEMPTS), out, checkpoint).awaitTermination()
+    return s.read.parquet(out)
+
+
+register("stream_rate_limit_attempts", _attempts, ATTEMPTS_SQL, "requests", times="requested_at")
