@@ -22,6 +22,10 @@ from glasswatch.llm.tables import delete, stored, work_folder
 from glasswatch.session import new_path
 
 
+#: Keys of eight bytes that may be sent to all tasks.
+SENT_ROWS = 1 << 20
+
+
 def in_work_folder(stage):
     @wraps(stage)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,9 +44,11 @@ def _keyed(docs: DataFrame, key: str) -> DataFrame:
 def _only(docs: DataFrame, key: str, rows: DataFrame, how: str) -> DataFrame:
     """The documents whose key is (``left_semi``) or isn't (``left_anti``) among ``rows(_row)``, a stored table.
 
-    Its size is known before the join is planned, so texts are only shuffled if it is too large to be sent to all tasks.
+    Its rows are counted before the join is planned: up to SENT_ROWS keys go to all tasks, and texts stay where they are. Beyond that Spark
+    decides, and may shuffle both sides by the key.
     """
     keyed = _keyed(docs, key)
+    rows = F.broadcast(rows) if rows.count() <= SENT_ROWS else rows
     return keyed.join(rows, keyed[key] == rows["_row"], how).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
