@@ -142,7 +142,7 @@ def license_scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         word = word | F.contains(folded, F.lit(k))
     # at one place the longest of the sentences that fit
     any_of = "|".join(sentence_pattern(s) for s in sorted(ids, key=lambda s: (-len(s), s)))
-    matched = F.regexp_extract_all(folded_column("text"), F.lit(f"[{END}{LINE}]({any_of})(?=[{END}{LINE}]| ?$)"), F.lit(1))
+    matched = F.regexp_extract_all(folded_column("text"), F.lit(f"[{END}{LINE}]({any_of})(?= ?[{END}{LINE}])"), F.lit(1))
 
     def id_of(s: Column) -> Column:
         s = F.translate(s, LINE, " ")
