@@ -6,7 +6,8 @@ each rule's candidates, and only these are searched with the pattern. A rule who
 hex digits) searches every text. The index folds A-Z to a-z, which can only add candidates.
 
 Matches are leftmost and don't overlap within a kind; those whose checked group is too short are dropped after matching. Positions
-count code points, the end is exclusive. Null texts are empty. Repeated rows get the same spans; extra columns are ignored.
+count code points, the end is exclusive. Null texts are empty. Repeated rows get the same spans; extra columns are ignored. An empty table
+gives no rows. Texts may be long and hold any number of matches: positions cost n log n steps for n matches.
 """
 
 from __future__ import annotations
@@ -119,6 +120,17 @@ def trigram_query(pattern: str) -> list[frozenset[str]]:
     return sorted({frozenset(s[i : i + 3] for i in range(len(s) - 2)) for s in best}, key=sorted)
 
 
+def running_sums(values: Column) -> Column:
+    """The sum of all elements up to each one, by doubling: pass k adds the element 2^k places before. log2(n) passes over n elements."""
+
+    def add(sums, k):
+        back = F.call_function("shiftleft", F.lit(1), k)
+        return F.transform(sums, lambda x, i: F.when(i >= back, x + sums[i - back]).otherwise(x))
+
+    passes = F.sequence(F.lit(0), F.length(F.bin(F.size(values).cast("long"))) - 1)
+    return F.aggregate(passes, values, add)
+
+
 def spans(text: str, rule: Rule, order: int) -> Column:
     """Array of (start, order, end, kind) of a rule's matches: gaps and matches take turns, so their lengths add up to positions."""
     whole = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
@@ -128,18 +140,14 @@ def spans(text: str, rule: Rule, order: int) -> Column:
         F.arrays_zip(whole.alias("m"), checked.alias("c"), F.slice(gaps, 1, F.size(whole)).alias("g")),
         lambda x: F.struct(F.length(x["g"]).alias("g"), F.length(x["m"]).alias("m"), F.length(x["c"]).alias("c")),
     )
-    one = "struct<start:int,ord:int,end:int,kind:string>"
-    state = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{one}>").alias("found"))
-
-    def step(acc, x):
-        start, end = acc["at"] + x["g"], acc["at"] + x["g"] + x["m"]
-        span = F.struct(start.alias("start"), F.lit(order).alias("ord"), end.alias("end"), F.lit(rule.kind).alias("kind"))
-        return F.struct(
-            end.alias("at"),
-            F.when(x["c"] >= rule.least, F.concat(acc["found"], F.array(span))).otherwise(acc["found"]).alias("found"),
-        )
-
-    return F.aggregate(parts, state, step, lambda acc: acc["found"])
+    lengths = F.transform(parts, lambda x: x["g"] + x["m"]).cast("array<int>")
+    placed = F.filter(F.arrays_zip(parts.alias("p"), running_sums(lengths).alias("end")), lambda x: x["p"]["c"] >= rule.least)
+    return F.transform(
+        placed,
+        lambda x: F.struct(
+            (x["end"] - x["p"]["m"]).alias("start"), F.lit(order).alias("ord"), x["end"].alias("end"), F.lit(rule.kind).alias("kind")
+        ),
+    )
 
 
 def postings(docs: DataFrame, trigrams: list[str]) -> DataFrame:

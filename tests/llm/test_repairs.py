@@ -1,11 +1,12 @@
-"""Cases that earlier versions got wrong: space marks in texts, long names in licence notices, more hash ranges than listed n-grams."""
+"""Cases that earlier versions got wrong: space marks in texts, long names in licence notices, more hash ranges than listed n-grams,
+very many secrets in a text."""
 
 import random
 
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from glasswatch.llm import licenses, ngram_join
+from glasswatch.llm import licenses, ngram_join, secret_scan
 from glasswatch.llm.token_counts import Counter
 
 
@@ -29,3 +30,12 @@ def test_list_of_frequent_ngrams_never_exceeds_its_limit(spark):
     docs = spark.range(40).select(F.col("id").alias("doc_id"), F.concat_ws(" ", *[F.lit(f"w{i}") for i in range(400)]).alias("text"))
     listed, _ = ngram_join.frequent_ngrams(docs, 4, limit=5)  # fewer than the 64 ranges
     assert 0 < len(listed) <= 5
+
+
+def test_texts_with_very_many_secrets(spark):
+    run, n = "0123456789abcdef01234567", 100_000
+    docs = spark.createDataFrame([(1, f"é{run} " * n), (2, run), (3, ""), (4, None)], "doc_id long, text string")
+    found = secret_scan.secret_scan(docs).select("doc_id", F.size("base").alias("n"), F.try_element_at("base", F.lit(-1)).alias("last"))
+    got = {r["doc_id"]: (r["n"], r["last"] and (r["last"]["start"], r["last"]["end"])) for r in found.collect()}
+    end = 26 * n - 1
+    assert got == {1: (n, (end - 24, end)), 2: (1, (0, 24)), 3: (0, None), 4: (0, None)}
