@@ -1,10 +1,13 @@
 """Sources, sinks and the checks on the way in."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from glasswatch.catalog import tables as t
 from glasswatch.catalog.registry import register
+from glasswatch.plans import deliveries
 from glasswatch.schemas import BRONZE
 from glasswatch.session import new_path
 from glasswatch.sources import ingest, readers, sinks
@@ -71,9 +74,9 @@ def _scenarios(s, d):
         .alias("track_ids"),
     )
     path = new_path(s, "scenarios")
-    docs.write.json(path)
-    # written by Spark, so one document per line; deliveries of one document per file use readers.read_scenarios
-    return readers.explode_scenarios(s.read.schema(readers.SCENARIO_DOCUMENT).json(path))
+    # a folder per document, so that each file holds one, as delivered
+    docs.withColumn("document", F.col("scenario_id")).repartition(32, "document").write.partitionBy("document").json(path)
+    return readers.read_scenarios(s, path)
 
 
 register(
@@ -94,6 +97,35 @@ register(
 )
 
 
+_PART = T.StructType([T.StructField("p_partkey", T.LongType()), T.StructField("p_size", T.LongType()), T.StructField("p_name", T.StringType())])
+
+
+def _delivered_parts(s, d):
+    """Parts as Parquet files, a folder for each brand. Brands 1x deliver sizes as text, 2x in another order, 3x without names, 4x a column more."""
+    parts = t.table(s, d, "part").select("p_brand", F.col("p_partkey").cast("long").alias("p_partkey"), F.col("p_size").cast("long").alias("p_size"), "p_name")
+    path = new_path(s, "parts")
+    shapes = {
+        "Brand#1%": parts.withColumn("p_size", F.col("p_size").cast("string")),
+        "Brand#2%": parts.select("p_brand", "p_size", "p_partkey", "p_name"),
+        "Brand#3%": parts.drop("p_name"),
+        "Brand#4%": parts.withColumn("note", F.lit("x")),
+    }
+    others = reduce(lambda c, brand: c & ~F.col("p_brand").like(brand), shapes, F.lit(True))
+    for which, shaped in [(F.col("p_brand").like(brand), shaped) for brand, shaped in shapes.items()] + [(others, parts)]:
+        sinks.clustered(shaped.filter(which), ["p_brand"]).write.mode("append").partitionBy("p_brand").parquet(path)
+    breaches = deliveries.contract_breaches(s, path, _PART)
+    return breaches.withColumn("source", F.regexp_extract("source", r"p_brand=Brand(?:#|%23)(\d+)/", 1)).distinct()
+
+
+register(
+    "ingest_file_contract", _delivered_parts,
+    "SELECT DISTINCT string_split(p_brand, '#')[-1] AS source, CAST(c[2] AS INTEGER) AS position, c[3] AS got, c[4] AS want FROM part JOIN "
+    "(SELECT unnest([['1', '1', 'p_size string', 'p_size bigint'], ['2', '0', 'p_size bigint', 'p_partkey bigint'], "
+    "['2', '1', 'p_partkey bigint', 'p_size bigint'], ['3', '2', NULL, 'p_name string'], ['4', '3', 'note string', NULL]]) AS c) "
+    "ON starts_with(string_split(p_brand, '#')[-1], c[1])",
+)
+
+
 def _cells(s, d):
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
     orders = t.table(s, d, "orders").select(
@@ -202,6 +234,33 @@ register(
 )
 
 
+def _files_twice(s, d):
+    """Documents as files, one each, read twice: in between Spanish ones are withdrawn, French ones rewritten, and source src0 comes."""
+    docs = t.table(s, d, "documents").select("doc_id", "lang", "source", "text")
+    first, second, manifests = (new_path(s, f"files_{n}") for n in ("first", "second", "manifests"))
+    rewritten = F.when(F.col("lang") == "fr", F.concat("text", F.lit("!"))).otherwise(F.col("text"))
+    for path, rows in (
+        (first, docs.filter("source is distinct from 'src0'")),
+        (second, docs.filter("lang is distinct from 'es'").withColumn("text", rewritten)),
+    ):
+        rows.select("doc_id", "text").repartition(32, "doc_id").write.option("lineSep", "\n").partitionBy("doc_id").text(path)
+    # Spark chooses the file names, so the folder is the name
+    named = F.regexp_extract("path", r"(doc_id=\d+)/", 1)
+    deliveries.check_delivery(s, first, manifests, named)
+    return deliveries.check_delivery(s, second, manifests, named)
+
+
+_FIRST = "source <> 'src0'"
+_SECOND = "lang <> 'es'"
+_OLD = f"CASE WHEN {_FIRST} THEN sha256(text || chr(10)) END"
+_NEW = f"CASE WHEN {_SECOND} THEN sha256(text || CASE WHEN lang = 'fr' THEN '!' ELSE '' END || chr(10)) END"
+register(
+    "ingest_delivered_files", _files_twice,
+    f"SELECT 'doc_id=' || doc_id AS file, {_NEW} AS sha256, {_OLD} AS previous_sha256, CASE WHEN NOT ({_SECOND}) THEN 'gone' WHEN NOT "
+    f"({_FIRST}) THEN 'new' WHEN lang = 'fr' THEN 'changed' ELSE 'same' END AS status FROM documents WHERE {_FIRST} OR {_SECOND}",
+)
+
+
 def _reloaded(s, d):
     """A table partitioned by status, loaded twice: the second load only replaces the partition it brings."""
     orders = t.table(s, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")

@@ -1,11 +1,14 @@
 """Signals and flags."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from glasswatch.catalog import tables as t
 from glasswatch.catalog.registry import cte, register
+from glasswatch.catalog.store import stored
 from glasswatch.operators import daily, signals
 from glasswatch.session import new_path
+from glasswatch.sources import sinks
 
 _C = t.SIGNALS
 _RECENT = f"TIMESTAMP '{_C.recent_from}'"
@@ -108,6 +111,33 @@ register(
     "sig_listen_spike", lambda s, d: signals.listen_spike(t.streams(s, d), _C), _ALL + "sig_spike", "sig_spike",
     rounded="recent_per_day baseline_per_day spike_ratio severity",
 )
+
+
+def _plays_by_day(s, d):
+    return stored(s, d, "plays_by_day", t.streams, sinks.write_by_day, T.StructField("play_day", T.DateType()))
+
+
+register(
+    "sig_listen_spike_by_day", lambda s, d: signals.listen_spike(_plays_by_day(s, d), _C), _ALL + "sig_spike", "sig_spike",
+    rounded="recent_per_day baseline_per_day spike_ratio severity",
+)
+
+
+def _busy_days(s, d):
+    """Plays of each country on the days on which more orders than usual came in; other days' plays aren't opened."""
+    orders = t.table(s, d, "orders").groupBy(F.to_date("o_orderdate").alias("play_day")).agg(F.count(F.lit(1)).alias("n"))
+    usual = orders.agg(F.avg("n").alias("usual"))
+    busy = orders.join(usual, F.col("n") > 2 * F.col("usual"))
+    return signals.plays_of_days(_plays_by_day(s, d), busy).groupBy("play_day", "stream_country_iso2").agg(F.count(F.lit(1)).alias("n"))
+
+
+register(
+    "plays_of_busy_days", _busy_days,
+    "SELECT CAST(streamed_at AS DATE) AS play_day, country AS stream_country_iso2, count(*) AS n FROM streams WHERE CAST(streamed_at AS DATE) "
+    "IN (SELECT day FROM (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n, avg(count(*)) OVER () AS usual FROM orders GROUP BY ALL) "
+    "WHERE n > 2 * usual) GROUP BY ALL",
+    "streams", dates="play_day",
+)
 register(
     "sig_geo_anomaly",
     lambda s, d: signals.geo_anomaly(t.streams(s, d), t.tracks(s, d), t.artists(s, d), _C),

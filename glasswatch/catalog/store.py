@@ -19,14 +19,22 @@ _written: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
 _schemas: dict[tuple[str, str], T.StructType] = {}
 
 
-def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
+def stored(
+    spark: SparkSession,
+    sf_dir: str,
+    name: str,
+    build: Callable[[SparkSession, str], DataFrame],
+    write: Callable[[DataFrame, str], None] = lambda df, path: df.write.parquet(path),
+    *added: T.StructField,
+) -> DataFrame:
+    """The table ``build`` makes, as ``write`` stores it; ``added`` are columns that the layout adds."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     with _lock:
         if key not in _written:
             df = build(spark, sf_dir)
             path = new_path(spark, name)
-            df.write.parquet(path)
-            _written[key] = (path, df.schema)
+            write(df, path)
+            _written[key] = (path, T.StructType([*df.schema, *added]))
         path, schema = _written[key]
     return spark.read.schema(schema).parquet(path)
 

@@ -41,6 +41,21 @@ def _capped(severity: Column, cfg: SignalConfig) -> Column:
     return F.least(F.lit(cfg.severity_cap), severity)
 
 
+def _days_of_window(streams: DataFrame, cfg: SignalConfig) -> DataFrame:
+    """Only the days of the window, where plays are stored by day. The last day has no bound, as the window has none."""
+    if "play_day" not in streams.columns:
+        return streams
+    return streams.filter(F.col("play_day") >= F.lit(cfg.window_from.date()))
+
+
+def plays_of_days(streams: DataFrame, days: DataFrame) -> DataFrame:
+    """Plays, stored by day, of the days in the column ``play_day`` of ``days``.
+
+    The days are known when ``days`` was read: the scan of the plays opens their folders only (dynamic partition pruning).
+    """
+    return streams.join(days.select("play_day").distinct(), "play_day", "left_semi")
+
+
 def _entity() -> Column:
     return F.lit("track").alias("entity_kind")
 
@@ -95,10 +110,14 @@ def _spike_ratio(recent: Column, baseline: Column, cfg: SignalConfig) -> Column:
 
 
 def listen_spike(streams: DataFrame, cfg: SignalConfig = SignalConfig()) -> DataFrame:
-    """Plays per day in the recent window against the days before it; fires strictly above the multiplier."""
+    """Plays per day in the recent window against the days before it; fires strictly above the multiplier.
+
+    Plays stored by day (``sinks.write_by_day``) have a column ``play_day``: folders of days before the window aren't opened.
+    """
     recent = _in_recent(cfg)
     return spike_of(
-        streams.filter(_in_window(cfg))
+        _days_of_window(streams, cfg)
+        .filter(_in_window(cfg))
         .groupBy("track_id")
         .agg(count_when(recent).alias("recent_streams"), count_when(~recent).alias("baseline_streams")),
         cfg,

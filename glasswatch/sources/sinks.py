@@ -58,3 +58,13 @@ def write_mart(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> No
     """Store a mart, one file set per partition value."""
     writer = clustered(df, partition_by).write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+
+
+def write_by_day(df: DataFrame, path: str, time: str = "streamed_at", day: str = "play_day", mode: str = "error") -> None:
+    """Store rows in a folder per day of ``time``, sorted by time within a file. Rows without a time get a folder of their own.
+
+    ``mode="overwrite"`` replaces only the days that ``df`` brings. A day's rows meet in few tasks; a day too large for a task is split at run
+    time, so it has several files.
+    """
+    by_day = clustered(df.withColumn(day, F.to_date(time)), [day]).sortWithinPartitions(day, time)
+    by_day.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
