@@ -5,7 +5,8 @@ first. Host and path are marked and cut into character n-grams; their hashes are
 weights in the JVM. No Python runs on executors.
 
 Null URLs and URLs without ``://`` have empty host and path: no rule fits them, and they are allowed. If the labels are missing or all
-alike, there's no model and URLs without a rule are allowed. Repeated rows and extra columns are harmless.
+alike, there's no model and URLs without a rule are allowed. Repeated rows and extra columns are harmless. An empty table gives no rows;
+URLs of any length are read whole.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ from pyspark.sql import functions as F
 
 #: Bound of the training table.
 MAX_LABELS = 4000
-FEATURES = 1 << 12
+#: Wide enough that n-grams no label holds seldom share a feature with one that some label holds.
+FEATURES = 1 << 16
 SIZES = (3, 4)
 
 
