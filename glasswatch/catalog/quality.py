@@ -6,6 +6,7 @@ from glasswatch.catalog import tables as t
 from glasswatch.catalog import transparency as trc
 from glasswatch.catalog.registry import register
 from glasswatch.operators import history, quality
+from glasswatch.plans import history_store
 from glasswatch.plans.expectations import EXPECTATIONS, check_table
 from glasswatch.plans.publish import count_failures, publish, read_published
 from glasswatch.session import new_path
@@ -140,28 +141,43 @@ _TRACKED = ["total_decisions", "automated_decisions"]
 _KEYS = ["product_line", "reporting_period_canonical", "category_code"]
 
 
-def _history(s, d):
+def _deliveries(s, d):
     """Two deliveries of the decisions: in the second, URGENT is gone, LOW has changed and TOTAL is new."""
     rows = t.decisions(s, d).select(*_KEYS, *_TRACKED)
     first = rows.filter(F.col("category_code") != "TOTAL")
     second = rows.filter(F.col("category_code") != "1-URGENT").withColumn(
         "total_decisions", F.col("total_decisions") + F.when(F.col("category_code") == "5-LOW", 1).otherwise(0)
     )
+    return first, second
+
 
-    def at(day):
-        return F.to_timestamp_ntz(F.lit(f"{day} 00:00:00"))
+def _at(day):
+    return F.to_timestamp_ntz(F.lit(f"{day} 00:00:00"))
 
-    opened = history.first_snapshot(first, _TRACKED, at("2026-01-01"))
-    return history.apply_snapshot(opened, second, _KEYS, _TRACKED, at("2026-02-01")).drop("row_hash")
+
+def _history(s, d):
+    first, second = _deliveries(s, d)
+    opened = history.first_snapshot(first, _TRACKED, _at("2026-01-01"))
+    return history.apply_snapshot(opened, second, _KEYS, _TRACKED, _at("2026-02-01")).drop("row_hash")
+
+
+def _stored_history(s, d):
+    """The same history as a stored table; the second delivery comes twice."""
+    first, second = _deliveries(s, d)
+    path = new_path(s, "history")
+    history_store.start(s, path, first, _KEYS, _TRACKED, _at("2026-01-01"), buckets=16)
+    history_store.deliver(s, path, second, _at("2026-02-01"))
+    history_store.deliver(s, path, second, _at("2026-03-01"))
+    return history_store.read_history(s, path).drop("row_hash")
 
 
 _JAN, _FEB = "TIMESTAMP '2026-01-01 00:00:00'", "TIMESTAMP '2026-02-01 00:00:00'"
 _BASE = "product_line, reporting_period_canonical, category_code"
-register(
-    "snap_scd2", _history,
+_HISTORY_SQL = (
     f"SELECT {_BASE}, total_decisions, automated_decisions, {_JAN} AS valid_from, CASE WHEN category_code IN ('1-URGENT', "
     f"'5-LOW') THEN {_FEB} END AS valid_to, category_code NOT IN ('1-URGENT', '5-LOW') AS is_current FROM decisions WHERE "
     f"category_code <> 'TOTAL' UNION ALL SELECT {_BASE}, total_decisions + CASE WHEN category_code = '5-LOW' THEN 1 ELSE 0 "
-    f"END, automated_decisions, {_FEB}, NULL, true FROM decisions WHERE category_code IN ('5-LOW', 'TOTAL')",
-    "decisions", times="valid_from valid_to",
+    f"END, automated_decisions, {_FEB}, NULL, true FROM decisions WHERE category_code IN ('5-LOW', 'TOTAL')"
 )
+register("snap_scd2", _history, _HISTORY_SQL, "decisions", times="valid_from valid_to")
+register("snap_scd2_stored", _stored_history, _HISTORY_SQL, "decisions", times="valid_from valid_to")

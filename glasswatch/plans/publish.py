@@ -66,7 +66,7 @@ def latest(spark: SparkSession, path: str) -> int:
     return (spark.read.schema(_ENTRY).json(log).agg(F.max("number")).first()[0] or 0) if log else 0
 
 
-def _add_entry(spark: SparkSession, path: str, number: int, folders: dict[str, str]) -> None:
+def add_entry(spark: SparkSession, path: str, number: int, folders: dict[str, str]) -> None:
     """Take a number. The entry is written under a name that readers skip, then renamed."""
     jvm = spark._jvm
     target = jvm.org.apache.hadoop.fs.Path(f"{path}/log/{number:012d}.json")
@@ -100,7 +100,7 @@ def publish_set(
     were computed from, by default the one that readers see now. Tables of that set that aren't given stay as they are.
     """
     base = latest(spark, path) if based_on is None else based_on
-    folders = _folders(spark, path, base) if base else {}
+    folders = entry_folders(spark, path, base) if base else {}
     written = {}
     for name, df in tables.items():
         folders[name] = f"versions/{name}/{uuid.uuid4().hex}"
@@ -110,11 +110,11 @@ def publish_set(
     failures = {r["check_name"]: r["n_failures"] for r in _counted({n: c(written) for n, c in checks.items()}).collect()} if checks else {}
     if any(failures.values()):
         return Outcome(failures, False)
-    _add_entry(spark, path, base + 1, folders)
+    add_entry(spark, path, base + 1, folders)
     return Outcome(failures, True, base + 1)
 
 
-def _folders(spark: SparkSession, path: str, number: int) -> dict[str, str]:
+def entry_folders(spark: SparkSession, path: str, number: int) -> dict[str, str]:
     entry = spark.read.schema(_ENTRY).json(f"{path}/log").filter(F.col("number") == number).first()
     if entry is None:
         raise ValueError(f"{path} has no set {number}")
@@ -124,7 +124,7 @@ def _folders(spark: SparkSession, path: str, number: int) -> dict[str, str]:
 def read_set(spark: SparkSession, path: str, number: int | None = None) -> Tables:
     """All tables of a published set, by default of the last one. The set is chosen once, so its tables belong together."""
     number = latest(spark, path) if number is None else number
-    return {name: spark.read.parquet(f"{path}/{folder}") for name, folder in _folders(spark, path, number).items()}
+    return {name: spark.read.parquet(f"{path}/{folder}") for name, folder in entry_folders(spark, path, number).items()}
 
 
 def publish(df: DataFrame, path: str, checks: dict[str, Check], partition_by: Sequence[str] = ()) -> Outcome:
