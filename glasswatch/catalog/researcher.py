@@ -9,8 +9,10 @@ from glasswatch.catalog.registry import cte, register, round_sql
 from glasswatch.config import RateLimit
 from glasswatch.operators import attempts
 from glasswatch.operators import researcher as rs
+from glasswatch.operators import sketches
 from glasswatch.operators import transparency as tr
 from glasswatch.plans import serving
+from glasswatch.session import new_path
 
 
 def _dim(s, d):
@@ -49,6 +51,25 @@ register(
     "total_response_bytes, count(DISTINCT endpoint) AS distinct_endpoints_hit FROM request_fact GROUP BY ALL",
     "request_fact", dates="query_date", rounded="mean_latency_ms",
 )
+
+
+def _sketched_keys(s, d):
+    """Keys and addresses per endpoint from stored days, with the exact counts next to them."""
+    log = t.requests(s, d)
+    exact = log.groupBy("endpoint").agg(F.countDistinct("key_id").alias("n_keys"))
+    path = new_path(s, "key-sketches")
+    sketches.store_delivery(sketches.distinct_by_day(log, ["endpoint"], "key_id", "requested_at"), path, "log")
+    found = sketches.distinct_report(s.read.parquet(path), ["endpoint"], "estimate")
+    met = exact.join(found.withColumnRenamed("endpoint", "_e"), F.col("endpoint").eqNullSafe(F.col("_e")), "left")
+    # five standard errors; none at all up to the size of a sketch
+    within = F.abs(F.col("estimate") - F.col("n_keys")) <= 5 * F.col("relative_error") * F.col("n_keys")
+    return met.select("endpoint", F.col("n").alias("n_queries"), "n_keys", within.alias("keys_within"))
+
+
+register(
+    "rpt_researcher_keys_sketched", _sketched_keys,
+    "SELECT endpoint, count(*) AS n_queries, count(DISTINCT key_id) AS n_keys, true AS keys_within FROM requests GROUP BY endpoint", "requests",
+)
 register(
     "rate_limit_decision",
     lambda s, d: rs.rate_limit_decision(

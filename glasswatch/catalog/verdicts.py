@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from glasswatch.catalog import tables as t
 from glasswatch.catalog.registry import cte, register, round_sql
 from glasswatch.catalog.store import stored
-from glasswatch.operators import signals, verdict_prep, verdicts
+from glasswatch.operators import signals, sketches, verdict_prep, verdicts
 from glasswatch.config import VerdictConfig
+from glasswatch.session import new_path
 
 cte(
     "verdict_fact",
@@ -67,6 +68,31 @@ register(
     "WHERE status = 'ok' AND latency_ms > 0 GROUP BY provider",
     "verdict_fact", rounded="latency_ms_mean latency_ms_p50 latency_ms_p95",
 )
+
+
+def _sketched_latency(s, d):
+    """Sketches stored by two deliveries that share days, merged on read, next to the exact quantiles."""
+    calls = t.staged_verdicts(s, d)
+    path = new_path(s, "latency-sketches")
+    early = F.coalesce(F.hour("requested_at") < 12, F.lit(True))
+    for name, part in (("morning", calls.filter(early)), ("afternoon", calls.filter(~early))):
+        sketches.store_delivery(sketches.latency_by_day(part), path, name)
+    report = sketches.latency_ranks(sketches.latency_report(s.read.parquet(path)), calls)
+    exact = verdicts.latency_distribution(calls).select(F.col("provider").alias("_p"), *sketches.QUANTILES)
+    met = report.drop(*sketches.QUANTILES).join(exact, F.col("provider").eqNullSafe(F.col("_p")))
+    # the error is stated for 99 of 100 sketches; twice as much is as good as never passed
+    within = [(F.col(f"{q}_off") <= 2 * F.col("rank_error")).alias(f"{q}_within") for q in sketches.QUANTILES]
+    return met.select("provider", "model_name", "n_ok_verdicts", "latency_ms_mean", *sketches.QUANTILES, *within)
+
+
+register(
+    "rpt_llm_latency_sketched", _sketched_latency,
+    "SELECT provider, max(model_name) AS model_name, count(*) AS n_ok_verdicts, avg(latency_ms) AS latency_ms_mean, "
+    "quantile_cont(CAST(latency_ms AS DOUBLE), 0.5) AS latency_ms_p50, quantile_cont(CAST(latency_ms AS DOUBLE), 0.95) AS "
+    "latency_ms_p95, true AS latency_ms_p50_within, true AS latency_ms_p95_within FROM verdict_fact "
+    "WHERE status = 'ok' AND latency_ms > 0 GROUP BY provider",
+    "verdict_fact", rounded="latency_ms_mean latency_ms_p50 latency_ms_p95",
+)
 register(
     "rpt_llm_drift_score", lambda s, d: verdicts.drift_score(recommended(s, d)),
     "SELECT provider, max(model_name) AS model_name, count(*) FILTER (status = 'ok') AS n_ok_current_window, "
