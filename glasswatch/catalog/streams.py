@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from glasswatch.catalog import tables as t
-from glasswatch.catalog.registry import register
+from glasswatch.catalog.registry import cte, register
 from glasswatch.catalog.researcher import ATTEMPTS, ATTEMPTS_SQL
 from glasswatch.config import RateLimit
 from glasswatch.operators import attempts
@@ -55,6 +55,41 @@ register(
 )
 
 
+def _closed_windows(s, d):
+    """The log as it arrives in three files, each read by a new run: its earlier half without the requests answered by 503, its later half,
+    and last these requests, whose windows have closed by then."""
+    log = t.requests(s, d).select("key_id", "requested_at", "response_status_code")
+    folder, out, days, checkpoint = (new_path(s, f"closed_{n}") for n in ("in", "out", "days", "checkpoint"))
+    at = F.unix_micros(F.col("requested_at").cast("timestamp"))
+    ends = log.agg(F.min(at).alias("a"), F.max(at).alias("b")).first()
+    early = at < (ends["a"] + ends["b"]) // 2
+    held_back = early & (F.col("response_status_code") == 503)
+    for part in (early & ~held_back, ~early, held_back):
+        log.filter(part).write.mode("append").parquet(folder)
+        rq.closed_windows_to(rq.rate_windows(rq.read_files(s, folder, log.schema), _LIMIT), out, checkpoint).awaitTermination()
+        rq.compact_windows(s, out, days)
+    closed = rq.read_closed_windows(s, out, days)
+    late = rq.late_requests(s.read.schema(log.schema).parquet(folder), closed, _LIMIT)
+    counts = closed.withColumn("n_late", F.lit(0).cast("long")).unionByName(late.withColumn("n", F.lit(0).cast("long")))
+    return counts.groupBy("key_id", "window_start", "window_end").agg(F.sum("n").alias("n"), F.sum("n_late").alias("n_late"))
+
+
+cte(
+    "bounds",
+    "SELECT max(requested_at) - INTERVAL 2 MINUTE AS mark, make_timestamp((epoch_us(min(requested_at)) + "
+    "epoch_us(max(requested_at))) // 2) AS cut FROM requests",
+    "requests",
+)
+register(
+    "stream_closed_windows", _closed_windows,
+    "SELECT key_id, w AS window_start, w + INTERVAL 15 MINUTE AS "
+    "window_end, count(*) FILTER (NOT held) AS n, count(*) FILTER (held) AS n_late FROM (SELECT key_id, mark, date_trunc('minute', "
+    "requested_at) - to_minutes(CAST(m AS BIGINT)) AS w, response_status_code = 503 AND requested_at < cut AS held FROM "
+    "requests, bounds, range(15) r(m)) WHERE w + INTERVAL 15 MINUTE <= mark GROUP BY key_id, w",
+    "bounds", times="window_start window_end",
+)
+
+
 def _attempts(s, d):
     """The log in three files, one after the other, each read by a new run from the checkpoint of the one before."""
     log = t.requests(s, d).select("query_id", "key_id", "requested_at")

@@ -8,8 +8,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from glasswatch.config import RateLimit
+from glasswatch.functions.joins import join_null_safe
 from glasswatch.operators.researcher import outcome_class
 from glasswatch.operators.staging import stage_table
+from glasswatch.sources.sinks import write_by_day
 
 
 def read_files(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
@@ -90,3 +92,61 @@ def read_latest_windows(spark: SparkSession, path: str, limit: RateLimit = RateL
         .agg(F.max("n").alias("n"))
         .withColumn("over_limit", F.col("n") >= limit.requests)
     )
+
+
+def closed_windows_to(windows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Append each window once, when the watermark has passed its end; windows still open stay in the state.
+
+    What arrives for a closed window is dropped by the stream; ``late_requests`` finds it. The table is one folder with a log of its files,
+    so a restart from the checkpoint neither loses a window nor writes one twice.
+    """
+    return append_to(windows, path, checkpoint)
+
+
+def late_requests(requests: DataFrame, closed: DataFrame, limit: RateLimit = RateLimit()) -> DataFrame:
+    """Requests that came after their window had closed, counted per key and window: ``key_id, window_start, window_end, n_late``.
+
+    ``requests`` is the whole log, ``closed`` the stream's table (``read_closed_windows``). Windows close in the order of their ends, so all
+    that end with the last closed one or before are closed, also those that had no request in time. Both sides are counts per key and
+    window before they meet, so a busy key is spread over its windows.
+    """
+    through = closed.agg(F.max("window_end").alias("_through"))
+    totals = rate_windows(requests, limit).withColumnRenamed("n", "_total").join(F.broadcast(through), F.col("window_end") <= F.col("_through"))
+    counted = closed.select("key_id", "window_start", F.col("n").alias("_counted"))
+    late = F.col("_total") - F.coalesce(F.col("_counted"), F.lit(0))
+    met = join_null_safe(totals, counted, ["key_id", "window_start"], "left").withColumn("n_late", late)
+    return met.filter("n_late > 0").select("key_id", "window_start", "window_end", "n_late")
+
+
+def compact_windows(spark: SparkSession, path: str, target: str) -> None:
+    """Copy the days of closed windows that can't grow any more from the stream's many files to few files per day.
+
+    A day is complete once a window that starts after it has closed. Days that were copied before are left alone, so a copy that fails is repeated.
+    """
+    closed = spark.read.parquet(path)
+    day = F.to_date("window_start")
+    last = closed.agg(F.max(day).alias("_last"))
+    complete = closed.join(F.broadcast(last), day < F.col("_last")).drop("_last")
+    done = _copied(spark, target, closed)
+    if done is not None:
+        days = done.select(F.col("window_day").alias("_day")).distinct()
+        complete = complete.join(days, day == F.col("_day"), "left_anti")
+    write_by_day(complete, target, time="window_start", day="window_day", mode="overwrite")
+
+
+def read_closed_windows(spark: SparkSession, path: str, target: str | None = None) -> DataFrame:
+    """All closed windows; days copied by ``compact_windows`` are read from ``target``."""
+    closed = spark.read.parquet(path)
+    done = _copied(spark, target, closed) if target else None
+    if done is None:
+        return closed
+    days = done.select(F.col("window_day").alias("_day")).distinct()
+    rest = closed.join(days, F.to_date("window_start") == F.col("_day"), "left_anti")
+    return done.drop("window_day").unionByName(rest)
+
+
+def _copied(spark: SparkSession, target: str, like: DataFrame) -> DataFrame | None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(target)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return None
+    return spark.read.schema(T.StructType([*like.schema, T.StructField("window_day", T.DateType())])).parquet(target)
