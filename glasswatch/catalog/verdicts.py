@@ -1,6 +1,7 @@
 """Verdict reports and the batch jobs that prepare verdicts."""
 
 import re
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -9,6 +10,7 @@ from glasswatch.catalog.registry import cte, register, round_sql
 from glasswatch.catalog.store import stored
 from glasswatch.operators import signals, sketches, verdict_prep, verdicts
 from glasswatch.config import VerdictConfig
+from glasswatch.plans import verdict_job
 from glasswatch.session import new_path
 
 cte(
@@ -299,3 +301,60 @@ register(
     "'skipped')) AS n_skipped, count(*) FILTER (status IN ('api_error', 'malformed_response')) AS n_errored FROM verdicts",
     "verdicts",
 )
+
+
+# a question per user, put to two providers; the cheapest units make costs whole numbers
+_JOB_MODELS = {"click": "model-click", "view": "model-view"}
+_JOB = VerdictConfig(prices={p: (1_000_000.0, 1_000_000.0) for p in _JOB_MODELS}, budget_usd=500.0)
+_JOB_ANSWER = '{"recommendation": "recommend_rank_lower", "confidence": 0.5, "primary_signal": "none", "reasoning": "", "uncertainty_flags": []}'
+
+
+def _job_answers(up):
+    """A model's stand-in. Users whose id ends in 7 get no answer while the service isn't ``up``, those whose id ends in 3 get no JSON."""
+
+    def ask(calls):
+        fails = F.col("scenario_id").endswith("7") & F.lit(not up)
+        at = F.to_timestamp_ntz(F.lit("2026-01-01 00:00:00"))
+        text = F.when(F.col("scenario_id").endswith("3"), "no idea").otherwise(_JOB_ANSWER)
+        return calls.withColumns({
+            "response_text": F.when(~fails, text), "error_class": F.when(fails, "timeout"), "latency_ms": F.lit(5),
+            "input_tokens": F.when(fails, 0).otherwise(F.octet_length("prompt") - 1), "output_tokens": F.when(fails, 0).otherwise(1),
+            "requested_at": at, "completed_at": at,
+        })
+
+    return ask
+
+
+def _job(s, d):
+    """Two runs: one with a budget while the service has gaps, one without limits afterwards."""
+    user = F.col("user_id").cast("string")
+    prompts = t.events(s, d).select("user_id").distinct().select(
+        F.col("user_id").alias("scenario_seq"), user.alias("scenario_id"), user.alias("track_id"), F.concat(F.lit("user "), user).alias("prompt"),
+        F.sha2(F.concat(F.lit("user "), user), 256).alias("prompt_hash"),
+    )
+    path = new_path(s, "verdict-job")
+    verdict_job.run(s, path, prompts, _JOB_MODELS, _job_answers(False), 1, _JOB)
+    final = verdict_job.run(s, path, prompts, _JOB_MODELS, _job_answers(True), 1, replace(_JOB, budget_usd=float("inf")))
+    asked = verdict_job.read_ledger(s, path).groupBy("verdict_id").agg(F.count(F.lit(1)).alias("n_asked"), F.sum("cost_usd").alias("total_usd"))
+    return final.join(asked, "verdict_id", "left").select(
+        "verdict_id", "scenario_id", "provider", "model", "recommendation", "status", "error_class", "input_tokens", "cost_usd", "n_asked", "total_usd"
+    )
+
+
+cte(
+    "job_calls",
+    "SELECT scenario_id, provider, length(scenario_id) + 4 AS input_tokens, 'v_' || substr(sha256(provider || ':' || sha256('user ' || "
+    "scenario_id)), 1, 16) AS verdict_id, ends_with(scenario_id, '3') AS mute, ends_with(scenario_id, '7') AS gap, CASE WHEN gap THEN 0 ELSE "
+    "input_tokens + 1 END AS first_cost, coalesce(sum(first_cost) OVER (ORDER BY CAST(scenario_id AS BIGINT), provider ROWS BETWEEN "
+    "UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < 500 AS in_first FROM (SELECT DISTINCT CAST(user_id AS VARCHAR) AS scenario_id FROM "
+    "events), (VALUES ('click'), ('view')) p(provider)",
+)
+register(
+    "llm_verdict_job", _job,
+    "SELECT verdict_id, scenario_id, provider, 'model-' || provider AS model, CASE WHEN NOT mute THEN 'recommend_rank_lower' END AS "
+    "recommendation, CASE WHEN mute THEN 'malformed_response' ELSE 'ok' END AS status, CASE WHEN mute THEN 'malformed_response' END AS "
+    "error_class, CAST(input_tokens AS BIGINT) AS input_tokens, CAST(input_tokens + 1 AS DOUBLE) AS cost_usd, CAST(CASE WHEN in_first AND "
+    "(mute OR gap) THEN 2 ELSE 1 END AS BIGINT) AS n_asked, CAST((input_tokens + 1) * CASE WHEN in_first AND mute THEN 2 ELSE 1 END AS DOUBLE) "
+    "AS total_usd FROM job_calls",
+    "job_calls", rounded="cost_usd total_usd",
+)
