@@ -11,6 +11,8 @@ from glasswatch.plans.expectations import EXPECTATIONS, check_table
 from glasswatch.plans.publish import count_failures, publish, read_published
 from glasswatch.session import new_path
 
+_TRACKED = ["total_decisions", "automated_decisions"]
+_KEYS = ["product_line", "reporting_period_canonical", "category_code"]
 _ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
 register(
     "dq_not_null",
@@ -77,6 +79,49 @@ register(
     "reporting_period_canonical = 'annual_1998' OR reporting_period_start >= reporting_period_end",
     "summary", "periods",
 )
+
+
+def _gaps(s, d):
+    """Periods of the fact, of which one product lacks a year, one has a short year and one a year that begins early."""
+    code, product = F.col("reporting_period_canonical"), F.col("product_line")
+    rows = t.decisions(s, d).filter(~((product == "BUILDING") & (code == "annual_1996")))
+    short, early = (product == "MACHINERY") & (code == "annual_1995"), (product == "FURNITURE") & (code == "annual_1997")
+    return quality.period_gaps(
+        rows.withColumn("reporting_period_end", F.when(short, F.lit("1995-12-01").cast("date")).otherwise(F.col("reporting_period_end")))
+        .withColumn("reporting_period_start", F.when(early, F.lit("1996-12-31").cast("date")).otherwise(F.col("reporting_period_start")))
+    )
+
+
+register(
+    "dq_period_gaps", _gaps,
+    "SELECT product_line, b AS period_before, p AS period, CASE WHEN step > 0 THEN 'gap' ELSE 'overlap' END AS failure_kind, CAST(abs(step) AS "
+    "INTEGER) AS days FROM (SELECT product_line, p, lag(p) OVER w AS b, date_diff('day', lag(e) OVER w, a) - 1 AS step FROM (SELECT DISTINCT "
+    "product_line, reporting_period_canonical AS p, CASE WHEN product_line = 'FURNITURE' AND p = 'annual_1997' THEN DATE '1996-12-31' ELSE "
+    "reporting_period_start END AS a, CASE WHEN product_line = 'MACHINERY' AND p = 'annual_1995' THEN DATE '1995-12-01' ELSE "
+    "reporting_period_end END AS e FROM decisions WHERE NOT (product_line = 'BUILDING' AND p = 'annual_1996')) WINDOW w AS (PARTITION BY "
+    "product_line ORDER BY a)) WHERE step <> 0",
+    "decisions",
+)
+
+
+def _reconciled(s, d):
+    """Categories against the TOTAL row: one product's total is off by one, and one year is only there in its parts."""
+    rows, off = t.decisions(s, d), F.when(F.col("product_line") == "BUILDING", 1).otherwise(0)
+    totals = rows.filter("category_code = 'TOTAL' AND reporting_period_canonical <> 'annual_1994'").withColumn("total_decisions", F.col("total_decisions") + off)
+    return quality.totals_reconciled(rows.filter("category_code <> 'TOTAL'"), totals, ["product_line", "reporting_period_canonical"], _TRACKED)
+
+
+register(
+    "dq_totals_reconciled", _reconciled,
+    " UNION ALL ".join(
+        f"SELECT product_line, reporting_period_canonical, '{m}' AS measure, CAST(a AS BIGINT) AS added_up, CAST(w AS BIGINT) AS disclosed FROM "
+        f"(SELECT product_line, reporting_period_canonical, sum({m}) AS a FROM decisions WHERE category_code <> 'TOTAL' GROUP BY ALL) FULL JOIN "
+        f"(SELECT product_line, reporting_period_canonical, sum({m} + {off}) AS w FROM decisions WHERE category_code = 'TOTAL' AND "
+        "reporting_period_canonical <> 'annual_1994' GROUP BY ALL) USING (product_line, reporting_period_canonical) WHERE a IS DISTINCT FROM w"
+        for m, off in (("total_decisions", "CASE product_line WHEN 'BUILDING' THEN 1 ELSE 0 END"), ("automated_decisions", "0"))
+    ),
+    "decisions",
+)
 register(
     "dq_fraud_caught", lambda s, d: quality.fraud_caught(
         t.expectations(s, d).withColumn("expected_min_score", F.col("expected_min_score") + 99), t.flags(s, d)
@@ -137,8 +182,6 @@ register(
     "flags",
 )
 
-_TRACKED = ["total_decisions", "automated_decisions"]
-_KEYS = ["product_line", "reporting_period_canonical", "category_code"]
 
 
 def _deliveries(s, d):

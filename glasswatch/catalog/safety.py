@@ -53,16 +53,15 @@ FROM (SELECT track_id, count(*) AS total_streams, count(DISTINCT user_id) AS dis
   FROM streams GROUP BY track_id)""",
     "streams",
 )
-# the index is shown as a sum of squared shares; whether it reaches the threshold is decided on whole numbers
+# the index is a sum of squared shares, compared without the noise of its last digits
 cte(
     "sig_hhi",
     f"""SELECT track_id, total_streams, distinct_households, hhi_value, top_household_share,
   CASE WHEN total_streams >= {_C.hhi_min_streams}
-    AND squares / (CAST(total_streams AS DOUBLE) * total_streams) >= {_C.hhi_threshold} THEN 1 ELSE 0 END AS fires,
+    AND round(hhi_value, 12) >= {_C.hhi_threshold} THEN 1 ELSE 0 END AS fires,
   least({_CAP}, hhi_value / {_C.hhi_threshold}) AS severity
 FROM (SELECT track_id, CAST(total AS BIGINT) AS total_streams, count(*) AS distinct_households,
-    sum(pow(CAST(n AS DOUBLE) / total, 2)) AS hhi_value, max(CAST(n AS DOUBLE) / total) AS top_household_share,
-    CAST(sum(n * n) AS DOUBLE) AS squares
+    sum(pow(CAST(n AS DOUBLE) / total, 2)) AS hhi_value, max(CAST(n AS DOUBLE) / total) AS top_household_share
   FROM (SELECT track_id, household_id, count(*) AS n, sum(count(*)) OVER (PARTITION BY track_id) AS total
     FROM streams JOIN users USING (user_id) GROUP BY track_id, household_id)
   GROUP BY track_id, total)""",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glasswatch.functions.expressions import count_when
@@ -70,6 +70,41 @@ def period_continuity(summary: DataFrame, periods: DataFrame) -> DataFrame:
     return sets.unionByName(invalid)
 
 
+def period_gaps(reported: DataFrame) -> DataFrame:
+    """Days between a product's successive reporting periods that no period covers, and days that two of them cover.
+
+    ``reported`` has ``product_line, reporting_period_canonical, reporting_period_start, reporting_period_end`` in any number of rows; what is
+    ordered are the distinct periods of one product. ``days`` is how many days are missing (``gap``) or covered twice (``overlap``).
+    Periods without a start or end are left to the check for NULLs.
+    """
+    start, end = F.col("reporting_period_start"), F.col("reporting_period_end")
+    periods = reported.filter(start.isNotNull() & end.isNotNull()).select("product_line", F.col("reporting_period_canonical").alias("period"), start.alias("start"), end.alias("end")).distinct()
+    order = Window.partitionBy("product_line").orderBy("start", "end", "period")
+    # a long period may reach beyond the ones that start after it
+    covered = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    step = F.datediff("start", covered) - 1
+    return (
+        periods.select("product_line", "period", F.lag("period").over(order).alias("period_before"), step.alias("step"))
+        .filter("step <> 0")
+        .select("product_line", "period_before", "period", F.when(F.col("step") > 0, "gap").otherwise("overlap").alias("failure_kind"), F.abs("step").alias("days"))
+    )
+
+
+def totals_reconciled(parts: DataFrame, totals: DataFrame, keys: Sequence[str], measures: Sequence[str], tolerance: float = 0.0) -> DataFrame:
+    """Measures whose parts don't add up to the disclosed total: ``*keys, measure, added_up, disclosed``.
+
+    A total that nothing was reported for and parts without a total are failures too, with a NULL on that side; NULL keys are keys like
+    others. Totals that are disclosed several times are added. Both sides are aggregated before they meet.
+    """
+    sides = parts.select(*keys, *measures, F.lit(True).alias("_part")).unionByName(totals.select(*keys, *measures, F.lit(False).alias("_part")))
+    both = sides.groupBy(*keys).agg(
+        *[F.sum(F.when(side, F.col(m))).alias(f"_{name}_{m}") for m in measures for name, side in (("got", F.col("_part")), ("want", ~F.col("_part")))]
+    )
+    each = both.select(*keys, F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(f"_got_{m}").alias("added_up"), F.col(f"_want_{m}").alias("disclosed")) for m in measures])).alias("m"))
+    off = F.coalesce(F.abs(F.col("added_up") - F.col("disclosed")) > tolerance, ~F.col("added_up").eqNullSafe(F.col("disclosed")))
+    return each.select(*keys, "m.*").filter(off)
+
+
 def scenario_scores(expectations: DataFrame, flags: DataFrame) -> DataFrame:
     """Expected tracks of each scenario with the score they got (0 if not streamed)."""
     # few tracks are expected: the flags of all others are filtered out, not shuffled

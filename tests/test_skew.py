@@ -76,6 +76,15 @@ def test_rate_limit_equals_a_plain_loop(spark):
     assert got["e2"]["n_recent"] == 1 and got["f2"]["n_recent"] == 0
 
 
+def test_rate_limit_of_one_key_within_a_window(spark):
+    """One key makes all requests within minutes: slots are narrower than that, and their width changes nothing."""
+    log = [(f"q{i}", "hot", T0 + timedelta(milliseconds=37 * i)) for i in range(9000)]
+    df = spark.createDataFrame(log, "query_id string, key_id string, requested_at timestamp_ntz")
+    for seconds in (0.5, 60, 3600):
+        got = {r["query_id"]: r["n_recent"] for r in rate_limit_decision(df, RateLimit(requests=40), seconds).collect()}
+        assert got == {f"q{i}": i for i in range(9000)}
+
+
 def test_budget_gate_equals_a_plain_loop(spark):
     rng = random.Random(4)
     costs = [rng.choice([0.0, 0.01, 0.25]) for _ in range(500)]
