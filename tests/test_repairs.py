@@ -34,7 +34,7 @@ def test_requests_without_an_id_are_kept(spark, tmp_path):
 def test_users_listed_twice_do_not_double_plays(spark):
     plays = spark.range(160).select(F.lit("t").alias("track_id"), (F.col("id") % 40).cast("string").alias("user_id"))
     users = spark.range(40).select(F.col("id").cast("string").alias("user_id"), F.col("id").cast("string").alias("household_id"))
-    profile = lambda u: signals._listener_profile(plays, u, SignalConfig()).first()
+    profile = lambda u: signals._listener_profile(signals.per_listener(plays), u, SignalConfig()).first()
     once, twice = profile(users), profile(users.union(users))
     assert once["s2l_ratio_severity"] == twice["s2l_ratio_severity"] and once["s2l_ratio_fires"] == twice["s2l_ratio_fires"] == 0
 
