@@ -4,12 +4,14 @@ Every text is cut into non-overlapping blocks of ``block`` words, the reference
 block of its own text wherever it lies, as ``2 * block - 1 <= window``. Each text's rolling windows of ``block`` words probe
 the index: hashes of blocks and probes meet in hash ranges, packed and sorted, so a probe costs about five bytes. An anchor is
 a block that occurs at a second place; all its places are hits. Hits are extended: the ``window``-word runs around them, under full 64-bit
-hashes, meet the same way, and the runs that occur twice, joined where they touch, are the maximal exact repeats. Nothing is ever paired, so a
+hashes, meet the same way, and those that occur twice are joined where they touch or overlap. Such a stretch holds every maximal exact repeat of ``window``
+words or more that lies there; repeats that share words with different partners are one stretch. Nothing is ever paired, so a
 passage in a million texts costs a million places.
 
 The first hash has as many bits as the size of the input asks for; a chance meeting only adds a hit. The second has 64: of ``n`` runs
 around hits, about ``n**2 / 2**65`` pairs meet by chance. Words are unchanged. Null texts have no words. Equal rows are different
-places, so repeated rows lose all runs of ``window`` words; ``doc_id`` may be null. Extra columns are ignored.
+places, so repeated rows lose all runs of ``window`` words; ``doc_id`` may be null. Extra columns are ignored. An empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -192,7 +194,7 @@ def _kept(window: int):
 
 
 def substring_dedup(docs: DataFrame, window: int = 35, block: int | None = None) -> DataFrame:
-    """Per document: ``doc_id``, ``n_words``, ``n_removed``, ``repeats`` (starts and ends of maximal repeats in words, in turn) and
+    """Per document: ``doc_id``, ``n_words``, ``n_removed``, ``repeats`` (starts and ends of stretches covered by repeats, in words, in turn) and
     ``kept_text``, the other words joined by blanks. A word goes if a run of ``window`` words that covers it also starts elsewhere."""
     block = block or (window + 1) // 2
     if not 1 <= 2 * block - 1 <= window:
