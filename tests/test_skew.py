@@ -191,3 +191,11 @@ def test_spread_join_keeps_rows_and_can_be_split_at_run_time(spark, rows):
             spark.conf.set(k, v)
     with pytest.raises(ValueError, match="power of two"):
         spread_join(big, small, ["k"], salts=3)
+
+
+def test_spread_join_never_broadcasts_the_repeated_side(spark, rows):
+    big = spark.range(2000).select((F.col("id") % 300).alias("k"), "id")
+    small = spark.range(200).select(F.col("id").alias("k"), F.col("id").alias("v")).groupBy("k").agg(F.max("v").alias("v"))
+    joined = spread_join(big, small, ["k"], "left", spread_by=["id"])
+    assert rows(joined, "id", "k", "v") == rows(big.join(small, "k", "left"), "id", "k", "v")
+    assert "BroadcastExchange" not in _plan(joined)
