@@ -72,3 +72,23 @@ def test_state_stays_as_small_as_the_limit():
     held: list[int] = []
     counts = [attempts.admit(t, held, 10, 2) for t in [1, 1, 2, 11, 11, 12, 12, None, 30]]
     assert counts == [0, 1, 2, 2, 2, 0, 1, 0, 0] and held == [30]
+
+
+def test_stream_hands_over_many_keys_at_once(spark, tmp_path, monkeypatch):
+    """Keys that share a group keep apart, the empty one and the missing one too; the function is called per group, not per key."""
+    monkeypatch.setattr(attempts, "KEY_GROUPS", 3)
+    r = random.Random(4)
+    keys = ["", None, "=", "?", *[f"k{i}" for i in range(40)]]
+    log = [(f"q{i:03d}", r.choice(keys), datetime(2026, 4, 1) + timedelta(seconds=20 * r.randrange(300))) for i in range(600)]
+    schema = "query_id string, key_id string, requested_at timestamp_ntz"
+    folder, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    cut = datetime(2026, 4, 1) + timedelta(seconds=3000)
+    for part in ([x for x in log if x[2] < cut], [x for x in log if x[2] >= cut]):
+        spark.createDataFrame(part, schema).write.mode("append").parquet(folder)
+        stream = rq.read_files(spark, folder, spark.createDataFrame([], schema).schema)
+        query = rq.append_to(attempts.decided_stream(stream, LIMIT), out, checkpoint)
+        query.awaitTermination()
+        assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) <= 3
+    got = spark.read.parquet(out).collect()
+    assert as_dict(got) == brute([(*x, "x") for x in log])
+    assert {(r["query_id"], r["key_id"], r["requested_at"]) for r in got} == set(log)
