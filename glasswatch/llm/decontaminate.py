@@ -3,8 +3,8 @@
 Texts fall into blocks of ``BLOCK`` words; a passage is two neighbouring blocks, so passages overlap by half and hold any run of
 ``BLOCK`` words whole. Words, A-Z folded, are hashed into FEATURES columns and weighted by the inverse passage frequency over all
 documents. A randomised SVD of the TF-IDF passages gives the latent space: ``(AᵀA)Ω`` is summed over tasks for a random ``Ω``, twice, with an
-orthonormal basis taken between, and the space is whitened by the singular values. The fit uses at most about ``FIT_PASSAGES`` passages, picked by a hash;
-frequencies, search and checks use all texts.
+orthonormal basis taken between, and the space is whitened by the singular values. The fit uses every distinct block of all texts, as
+frequencies, search and checks do: a task adds its blocks up to ``AᵀA`` before it meets ``Ω``, so a block costs its pairs of words.
 
 Benchmark items are cut into pieces of ``BLOCK`` words. Passages whose cosine with a piece reaches ``least_cosine`` are candidates.
 So is every place where ``n + BLOCK`` words could hold ``least_lcs`` of an item's ``n`` words, whatever its cosine: of the words to be
@@ -27,6 +27,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,7 +40,6 @@ FEATURES = 1 << 12
 RANK = 128
 #: Power of the inverse passage frequency; above 1 it keeps the commonest words from ruling the space.
 DAMPING = 1.5
-FIT_PASSAGES = 60_000
 ITEMS_AT_ONCE = 20_000
 FIXED_POINT = 1 << 24
 #: Of an item's rarest words, how many a place must hold; fewer are rarer words, more are fewer places by chance.
@@ -67,13 +67,15 @@ def _blocks(w: Words) -> tuple[np.ndarray, np.ndarray]:
     return w.first[:-1][row] + at * BLOCK, row
 
 
-def passage_counts(docs: DataFrame, rate: float) -> DataFrame:
+def passage_counts(docs: DataFrame) -> DataFrame:
     """``(feature, n)``: in how many blocks a feature is, and as feature FEATURES all blocks; with feature -1, ``passage``: the features of
-    a block picked for the fit."""
-    limit = U(min((1 << 64) - 1, int(rate * (1 << 64))))
+    a block, two bytes each."""
+
+    def rows(feature, n, passage):
+        return pa.RecordBatch.from_arrays([pa.array(feature, pa.int32()), pa.array(n, pa.int64()), passage], ["feature", "n", "passage"])
 
     def run(batches):
-        sums, picked, n = np.zeros(FEATURES, np.int64), [], 0
+        sums, n = np.zeros(FEATURES, np.int64), 0
         for b in batches:
             for c in chunks(b.column(0)):
                 w = words_of(c, FOLDED)
@@ -87,22 +89,24 @@ def passage_counts(docs: DataFrame, rate: float) -> DataFrame:
                 one = np.unique(block * FEATURES + f)
                 sums += np.bincount(one % FEATURES, minlength=FEATURES)
                 n += len(start)
-                total = np.zeros(len(w.hash) + 1, U)
-                np.cumsum(mix(w.hash * U(2 * BLOCK + 1)), out=total[1:])
-                end = np.append(start[1:], len(w.hash))
-                take = np.flatnonzero(mix(total[end] - total[start]) < limit)
-                picked += [f[start[i] : end[i]].astype(np.int32) for i in take]
+                ends = pa.py_buffer(np.append(start, len(f)).astype(np.int32) * 2)
+                passages = pa.Array.from_buffers(pa.binary(), len(start), [None, ends, pa.py_buffer(f.astype("<u2"))])
+                yield rows(np.full(len(start), -1), np.zeros(len(start), np.int64), passages)
         used = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.concatenate([[FEATURES], used, np.full(len(picked), -1)]).astype(np.int32)),
-                pa.array(np.concatenate([[n], sums[used], np.zeros(len(picked), np.int64)]).astype(np.int64)),
-                pa.array([None] * (len(used) + 1) + picked, pa.list_(pa.int32())),
-            ],
-            ["feature", "n", "passage"],
-        )
+        yield rows(np.append(FEATURES, used), np.append(n, sums[used]), pa.nulls(len(used) + 1, pa.binary()))
+
+    return docs.select("text").mapInArrow(run, "feature int, n long, passage binary")
+
 
-    return docs.select("text").mapInArrow(run, "feature int, n long, passage array<int>")
+def _weighted(passages: pa.Array, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Features and TF-IDF weights of passages, a row of BLOCK places each; what a short one lacks has no weight."""
+    joined = b"".join(passages.to_pylist())
+    n = pc.binary_length(passages).to_numpy() // 2
+    inside = np.arange(BLOCK) < n[:, None]
+    f = np.zeros((len(n), BLOCK), np.int64)
+    f[inside] = np.frombuffer(joined, "<u2")
+    weight = np.where(inside, idf[f], 0.0)
+    return f, weight / np.sqrt(np.maximum((weight * weight).sum(1), 1e-12))[:, None]
 
 
 def latent_basis(fit: DataFrame, idf: np.ndarray, rank: int) -> np.ndarray:
@@ -119,21 +123,20 @@ def latent_basis(fit: DataFrame, idf: np.ndarray, rank: int) -> np.ndarray:
 
         def run(batches, held=held):
             x, idf = held.value
-            out = np.zeros((FEATURES, rank))
+            # frequent features side by side: most sums stay in the processor's cache
+            order = np.argsort(idf, kind="stable")
+            place = np.argsort(order)
+            half = np.zeros(FEATURES * FEATURES)
             for b in batches:
-                lists = b.column(0)
-                f = lists.flatten().to_numpy().astype(np.int64)
-                ends = np.cumsum([len(r.values) for r in lists])
-                start = np.append(0, ends[:-1])
-                weight = idf[f]
-                norm = np.sqrt(np.maximum(np.add.reduceat(weight * weight, start), 1e-12))
-                weight = weight / np.repeat(norm, ends - start)
-                y = np.add.reduceat(weight[:, None] * x[f], start, axis=0)
-                order = np.argsort(f, kind="stable")
-                g = f[order]
-                first = np.flatnonzero(np.append(True, g[1:] != g[:-1]))
-                row = np.repeat(np.arange(len(start)), ends - start)[order]
-                out[g[first]] += np.add.reduceat(weight[order][:, None] * y[row], first, axis=0)
+                f, weight = (np.ascontiguousarray(v.T) for v in _weighted(b.column(0), idf))
+                f = place[f]
+                for i in range(BLOCK):
+                    for j in range(i, BLOCK):
+                        # of each pair one half, the other one is its mirror image
+                        np.add.at(half, f[i] * FEATURES + f[j], weight[i] * weight[j] * (0.5 if i == j else 1.0))
+            half = half.reshape(FEATURES, FEATURES)
+            out = np.empty((FEATURES, rank))
+            out[order] = half @ x[order] + half.T @ x[order]
             used = np.flatnonzero(np.abs(out).sum(1))
             fixed = np.rint(out[used] * FIXED_POINT).astype(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(used) + 1, dtype=np.int32) * rank), pa.array(fixed.ravel()))
@@ -335,18 +338,16 @@ def without_matches(docs: DataFrame, items, limits: Limits) -> DataFrame:
     return docs.filter(F.arrow_udf(clean, "boolean")("text"))
 
 
-def latent_space(docs: DataFrame, rank: int = RANK, fit_passages: int = FIT_PASSAGES) -> tuple[np.ndarray, np.ndarray]:
+def latent_space(docs: DataFrame, rank: int = RANK) -> tuple[np.ndarray, np.ndarray]:
     """The basis and the inverse passage frequencies of a corpus."""
     ship(docs.sparkSession)
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    # a block has about 80 bytes or more
-    counted = stored(passage_counts(docs, min(1.0, fit_passages / max(1.0, total / (5 * BLOCK)))), "passages")
+    counted = stored(passage_counts(docs), "passages")
     rows = counted.filter("feature >= 0").groupBy("feature").agg(F.sum("n").alias("n")).toArrow()
     n = np.zeros(FEATURES + 1)
     n[rows.column("feature").to_numpy()] = rows.column("n").to_numpy()
     idf = np.maximum(np.log(max(1.0, n[FEATURES]) / (1.0 + n[:FEATURES])), 0.0) ** DAMPING
     # copies would each bend the space towards themselves: a passage counts once
-    fit = stored(counted.filter("feature = -1 and size(passage) > 0").select("passage").distinct(), "fit")
+    fit = stored(counted.filter("feature = -1").select("passage").distinct(), "fit")
     return latent_basis(fit, idf, rank), idf
 
 
