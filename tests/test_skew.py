@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from glasswatch.config import RateLimit, SignalConfig, VerdictConfig
 from glasswatch.functions.joins import spread_join
 from glasswatch.functions.prefix import exact_quantiles, running_total
+from glasswatch.operators import quality, verdict_prep
 from glasswatch.operators import signals as sg
 from glasswatch.operators.researcher import rate_limit_decision
 from glasswatch.operators.verdict_prep import budget_gate
@@ -199,3 +200,15 @@ def test_spread_join_never_broadcasts_the_repeated_side(spark, rows):
     joined = spread_join(big, small, ["k"], "left", spread_by=["id"])
     assert rows(joined, "id", "k", "v") == rows(big.join(small, "k", "left"), "id", "k", "v")
     assert "BroadcastExchange" not in _plan(joined)
+
+
+def test_tables_of_all_tracks_are_never_sent_through_the_driver(spark, rows):
+    flags = spark.range(300).select(F.col("id").alias("track_id"), (F.col("id") % 7).cast("double").alias("composite_suspicion_score"))
+    expected = spark.range(10, 310).select(
+        (F.col("id") % 3).cast("string").alias("scenario_id"), F.col("id").alias("track_id"), F.lit(1).alias("expected_min_score")
+    )
+    tracks = spark.range(305).select(F.col("id").alias("track_id"))
+    scores, picked = quality.scenario_scores(expected, flags), verdict_prep.picked_tracks(flags, expected, tracks)
+    assert rows(scores) == rows(spark.createDataFrame([(str(i % 3), i, 1, float(i % 7) if i < 300 else 0.0) for i in range(10, 310)], scores.schema))
+    assert rows(picked) == [("0", 27, 6.0), ("1", 13, 6.0), ("2", 20, 6.0)]
+    assert "BroadcastExchange" not in _plan(scores) + _plan(picked)
