@@ -44,6 +44,8 @@ ITEMS_AT_ONCE = 20_000
 FIXED_POINT = 1 << 24
 #: Of an item's rarest words, how many a place must hold; fewer are rarer words, more are fewer places by chance.
 PROBES = 3
+#: First bits of a word's hash, of which a table tells whether any rare word begins with them; most words are let go by it.
+MAYBE_BITS = 20
 
 
 @dataclass(frozen=True)
@@ -82,14 +84,17 @@ def passage_counts(docs: DataFrame) -> DataFrame:
                 if not len(w.hash):
                     continue
                 start, _ = _blocks(w)
-                block = np.zeros(len(w.hash), np.int64)
-                block[start[1:]] = 1
-                block = np.cumsum(block)
                 f = _features(w)
-                one = np.unique(block * FEATURES + f)
-                sums += np.bincount(one % FEATURES, minlength=FEATURES)
+                ends = np.append(start, len(f))
+                # a row for each block, in order: what differs from the one before it is there for the first time
+                held = np.full((len(start), BLOCK), FEATURES, np.uint16)
+                held[np.arange(BLOCK) < np.diff(ends)[:, None]] = f
+                held.sort(axis=1)
+                once = np.ones(held.shape, bool)
+                np.not_equal(held[:, 1:], held[:, :-1], out=once[:, 1:])
+                sums += np.bincount(held[once], minlength=FEATURES + 1)[:FEATURES]
                 n += len(start)
-                ends = pa.py_buffer(np.append(start, len(f)).astype(np.int32) * 2)
+                ends = pa.py_buffer(ends.astype(np.int32) * 2)
                 passages = pa.Array.from_buffers(pa.binary(), len(start), [None, ends, pa.py_buffer(f.astype("<u2"))])
                 yield rows(np.full(len(start), -1), np.zeros(len(start), np.int64), passages)
         used = np.flatnonzero(sums)
@@ -156,11 +161,9 @@ def latent_basis(fit: DataFrame, idf: np.ndarray, rank: int) -> np.ndarray:
 def _lcs(mask: dict[int, int], n: int, words: list[int]) -> int:
     """Length of the longest common subsequence with a sequence of ``n`` words whose places ``mask`` has as bits."""
     full = v = (1 << n) - 1
-    for word in words:
-        m = mask.get(word)
-        if m:
-            u = v & m
-            v = ((v + u) | (v - u)) & full
+    for m in filter(None, map(mask.get, words)):
+        u = v & m
+        v = ((v + u) | (v - u)) & full
     return n - v.bit_count()
 
 
@@ -227,6 +230,8 @@ class Items:
         pairs.sort()
         self.rare, first = np.unique(np.array([x for x, _ in pairs], U), return_index=True)
         self.rare_first, self.rare_item = np.append(first, len(pairs)), np.array([i for _, i in pairs], np.int64)
+        self.maybe = np.zeros(1 << MAYBE_BITS, bool)
+        self.maybe[(self.rare >> U(64 - MAYBE_BITS)).astype(np.int64)] = True
 
 
 def block_vectors(w: Words, start: np.ndarray, row: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -252,8 +257,10 @@ def candidates(w: Words, items: Items, least: float):
     seen: dict[tuple[int, int], list[int]] = {}
     for lo in range(0, len(passage), 4096):
         for at in range(0, len(items.pieces), 1024):  # a product of 16 MB at a time, however many pieces there are
-            i, j = np.nonzero(passage[lo : lo + 4096] @ items.pieces[at : at + 1024].T >= least)
-            for p, item in zip((i + lo).tolist(), items.owner[j + at].tolist(), strict=True):
+            near = passage[lo : lo + 4096] @ items.pieces[at : at + 1024].T >= least
+            close = np.flatnonzero(near.any(axis=1))  # few passages are
+            i, j = np.nonzero(near[close])
+            for p, item in zip((close[i] + lo).tolist(), items.owner[j + at].tolist(), strict=True):
                 seen.setdefault((int(row[p]), item), []).append(p)
     for (r, item), passages in seen.items():
         passages = sorted(set(passages))
@@ -271,10 +278,12 @@ def word_candidates(w: Words, items: Items):
     """(row, item, first word, word after the last) of places of a chunk with enough of an item's rarest words within its span."""
     if not len(items.rare):
         return
-    at = np.minimum(np.searchsorted(items.rare, w.hash), len(items.rare) - 1)
-    pos = np.flatnonzero(items.rare[at] == w.hash)
-    lo = items.rare_first[at[pos]]
-    n = items.rare_first[at[pos] + 1] - lo
+    pos = np.flatnonzero(items.maybe[(w.hash >> U(64 - MAYBE_BITS)).astype(np.int64)])
+    at = np.minimum(np.searchsorted(items.rare, w.hash[pos]), len(items.rare) - 1)
+    found = items.rare[at] == w.hash[pos]
+    pos, at = pos[found], at[found]
+    lo = items.rare_first[at]
+    n = items.rare_first[at + 1] - lo
     item = items.rare_item[np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())]
     pos = np.repeat(pos, n)
     row = w.row[pos]

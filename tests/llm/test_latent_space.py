@@ -57,3 +57,31 @@ def test_basis_is_that_of_all_rows(spark):
         x = q @ u
     expected = x / np.sqrt(np.maximum(values, values.max() * 1e-6 + 1e-12))
     assert np.allclose(basis @ basis.T, expected @ expected.T, atol=1e-3)
+
+
+def test_a_feature_counts_once_a_block(spark):
+    texts = [*_texts()[:60], "same same same " * 11, "a b a"]
+    rows = decontaminate.passage_counts(spark.createDataFrame([(x,) for x in texts], "text string").repartition(3)).collect()
+    blocks, got = _blocks_of(texts), {}
+    for r in rows:
+        if r["feature"] >= 0:
+            got[r["feature"]] = got.get(r["feature"], 0) + r["n"]
+    wanted = {decontaminate.FEATURES: len(blocks)}
+    for f in (f for b in blocks for f in set(b)):
+        wanted[f] = wanted.get(f, 0) + 1
+    assert got == wanted
+    assert sorted(np.frombuffer(r["passage"], "<u2").tolist() for r in rows if r["feature"] < 0) == sorted(map(list, blocks))
+
+
+def test_only_words_that_may_be_rare_are_looked_up(monkeypatch):
+    r = random.Random(11)
+    items = [(i, " ".join(f"q{r.randrange(900)}" for _ in range(30)) + f". answer {i}.") for i in range(20)]
+    idf = np.random.default_rng(1).random(decontaminate.FEATURES)
+    it = decontaminate.Items(items, np.ones((decontaminate.FEATURES, 4), np.float32), idf)
+    texts = [" ".join(f"w{r.randrange(9000):x}zz" for _ in range(800)) + " " + items[k % 20][1] for k in range(30)]
+    w = words_of(next(chunks(pa.array(texts))), FOLDED)
+    looked, real = [], np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda a, v, *more: (looked.append(np.size(v)), real(a, v, *more))[1])
+    found = {(row, item) for row, item, _, _ in decontaminate.word_candidates(w, it)}
+    assert found >= {(k, k % 20) for k in range(30)}
+    assert sum(looked) < len(w.hash) / 10
