@@ -32,7 +32,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glasswatch.llm.tables import ship, stored
+from glasswatch.llm.tables import give_back, ship, stored
 from glasswatch.llm.words import FOLDED, Chunk, U, Words, chunks, mix, words_of
 
 BLOCK = 16
@@ -44,6 +44,8 @@ ITEMS_AT_ONCE = 20_000
 FIXED_POINT = 1 << 24
 #: Of an item's rarest words, how many a place must hold; fewer are rarer words, more are fewer places by chance.
 PROBES = 3
+#: Rows of the sums over pairs of features that are held together.
+BAND = 256
 #: First bits of a word's hash, of which a table tells whether any rare word begins with them; most words are let go by it.
 MAYBE_BITS = 20
 
@@ -77,6 +79,7 @@ def passage_counts(docs: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(feature, pa.int32()), pa.array(n, pa.int64()), passage], ["feature", "n", "passage"])
 
     def run(batches):
+        give_back()
         sums, n = np.zeros(FEATURES, np.int64), 0
         for b in batches:
             for c in chunks(b.column(0)):
@@ -128,20 +131,34 @@ def latent_basis(fit: DataFrame, idf: np.ndarray, rank: int) -> np.ndarray:
 
         def run(batches, held=held):
             x, idf = held.value
+            give_back()
             # frequent features side by side: most sums stay in the processor's cache
             order = np.argsort(idf, kind="stable")
             place = np.argsort(order)
-            half = np.zeros(FEATURES * FEATURES)
+            # of each pair one half, the other one is its mirror image: a band of rows has no columns before its own first
+            starts = np.arange(0, FEATURES, BAND)
+            size = BAND * (FEATURES - starts)
+            begin = np.cumsum(size) - size
+            band = np.arange(FEATURES) // BAND
+            at = begin[band] + (np.arange(FEATURES) - starts[band]) * (FEATURES - starts[band]) - starts[band]
+            half = np.zeros(size.sum())
             for b in batches:
-                f, weight = (np.ascontiguousarray(v.T) for v in _weighted(b.column(0), idf))
+                f, weight = _weighted(b.column(0), idf)
                 f = place[f]
+                inner = np.argsort(f, axis=1)
+                f, weight = (np.ascontiguousarray(np.take_along_axis(v, inner, 1).T) for v in (f, weight))
                 for i in range(BLOCK):
+                    row = at[f[i]]
                     for j in range(i, BLOCK):
-                        # of each pair one half, the other one is its mirror image
-                        np.add.at(half, f[i] * FEATURES + f[j], weight[i] * weight[j] * (0.5 if i == j else 1.0))
-            half = half.reshape(FEATURES, FEATURES)
+                        np.add.at(half, row + f[j], weight[i] * weight[j] * (0.5 if i == j else 1.0))
+            x, sums = x[order], np.zeros((FEATURES, rank))
+            for lo, a, n in zip(starts, begin, size, strict=True):
+                part = half[a : a + n].reshape(BAND, -1)
+                sums[lo : lo + BAND] += part @ x[lo:]
+                sums[lo:] += part.T @ x[lo : lo + BAND]
+            del half, part
             out = np.empty((FEATURES, rank))
-            out[order] = half @ x[order] + half.T @ x[order]
+            out[order] = sums
             used = np.flatnonzero(np.abs(out).sum(1))
             fixed = np.rint(out[used] * FIXED_POINT).astype(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(used) + 1, dtype=np.int32) * rank), pa.array(fixed.ravel()))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
@@ -10,6 +11,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 import glasswatch
@@ -72,3 +74,10 @@ def ship(spark: SparkSession) -> SparkSession:
         spark.sparkContext.addPyFile(str(target))
         _shipped.add(app)
     return spark
+
+
+def give_back() -> None:
+    """Return memory that earlier tasks of this Python worker freed. Workers live on, and Arrow and the C library keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)

@@ -10,7 +10,7 @@ Reading: blocks are decoded one by one in any task; the checksum of each must fi
 comes from sums over parts, which count up their own blocks. Parquet is the container because Spark's commit protocol then covers lost tasks.
 
 The pre-tokenizer folds case and never lets a token span white space or the edge of a run of letters (tried when an encoder is
-made), so a text's ids are those of its words, and each distinct word is encoded once per worker while a bounded table has room. Null and empty texts have the end id alone. Nothing is truncated.
+made), so a text's ids are those of its words, and each distinct word is encoded once per worker while a bounded table has room; the table goes before ids are counted. Null and empty texts have the end id alone. Nothing is truncated.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from glasswatch.llm.tables import ship, stored
+from glasswatch.llm.tables import give_back, ship, stored
 from glasswatch.llm.words import chunks
 
 BLOCK_IDS = 1 << 17
@@ -152,10 +152,17 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def forget() -> None:
+    """Give back what this worker keeps for encoding: later steps need the room for their own rows."""
+    _encoders.clear()
+    give_back()
+
+
 def encoded(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     """``doc_id`` and ``ids``: a document's token ids with ``end_id`` behind them, as little-endian integers."""
 
     def run(batches):
+        give_back()
         e = encoder(tokenizer_path)
         for b in batches:
             for c in chunks(b.column(1)):
@@ -173,6 +180,7 @@ def frequencies(tokens: DataFrame, kind: np.dtype, size: int) -> np.ndarray:
     """How often each id occurs in all documents."""
 
     def run(batches):
+        forget()
         sums = np.zeros(size, np.int64)
         for b in batches:
             for x in b.column(0):
@@ -264,6 +272,7 @@ def write_blocks(tokens: DataFrame, table, kind: np.dtype, block_ids: int = BLOC
     """The stored block table of ``tokens(doc_id, ids)`` in ascending order of ``doc_id``."""
 
     def run(batches):
+        forget()
         part, block, before = TaskContext.get().partitionId(), 0, 0
         t, docs, held, n = table.value, [], [], 0
 
@@ -298,6 +307,7 @@ def read_documents(blocks: DataFrame, table) -> DataFrame:
     """
 
     def run(batches):
+        forget()
         t = table.value
         for b in batches:
             for r in b.to_pylist():

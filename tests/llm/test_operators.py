@@ -484,3 +484,10 @@ def test_packing_and_hashes():
     assert np.diff(w.first).tolist() == [3, 0, 0, 2, 2] and w.hash[0] == w.hash[2] == w.hash[3] == w.hash[6]
     at, h = words.ngrams(w, 2)
     assert at.tolist() == [0, 1, 3, 5] and h[0] == h[2] and h[1] == h[3]
+
+
+def test_encoder_is_forgotten():
+    token_files.encoder(WORD).ids([" ".join(f"w{i}" for i in range(2000))])
+    assert token_files._encoders
+    token_files.forget()
+    assert not token_files._encoders
