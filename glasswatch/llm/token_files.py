@@ -154,15 +154,17 @@ def encoder(path: str) -> Encoder:
 
 def forget() -> None:
     """Give back what this worker keeps for encoding: later steps need the room for their own rows."""
-    _encoders.clear()
-    give_back()
+    if _encoders:
+        _encoders.clear()
+        give_back()
 
 
 def encoded(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     """``doc_id`` and ``ids``: a document's token ids with ``end_id`` behind them, as little-endian integers."""
 
     def run(batches):
-        give_back()
+        if not _encoders:
+            give_back()
         e = encoder(tokenizer_path)
         for b in batches:
             for c in chunks(b.column(1)):
