@@ -19,10 +19,11 @@ import os
 import re
 import zlib
 from collections import defaultdict
-from itertools import chain, compress, count, islice
+from itertools import compress, count, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,8 +35,14 @@ BLOCK_IDS = 1 << 17
 LANES, STEPS = 512, 128
 SCALE = 20
 LOW = np.uint64(1 << 31)
-REMEMBERED = 1_000_000
-PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#*$%&]*)")
+REMEMBERED = 150_000
+#: Texts are split together, so that a word is looked up once for this many bytes.
+SPLIT_BYTES = 2 << 20
+#: Lower-case letters whose spelling in the byte alphabet is known, and signs that the pre-tokenizer cuts off behind a letter.
+PLAIN = "^[a-zß-öø-ÿ]+$"
+BEFORE_SIGN = "([A-Za-zÀ-ÖØ-öø-ÿ])([.,;:!?#*$%&])"
+#: Marks that may join the letter before them only in one case, and the beginning of special tokens: such texts keep their case.
+CASED = r"[\x{300}-\x{36F}]|<\|"
 #: Words in one text for the model.
 TOGETHER = 200
 U = np.uint64
@@ -44,9 +51,10 @@ U = np.uint64
 class Encoder:
     """Encodes whole texts word by word; made once per worker.
 
-    Letters and the punctuation behind them (PLAIN) are encoded apart. What the normalizer and pre-tokenizer make of such a word is
-    its lower case spelled in the byte alphabet, so the model itself is given many of them at once; their ids are told apart by the
-    suffix that ends a word. Any other word goes through the whole tokenizer by itself. Ids of words lie in one pool.
+    Texts are lowered (A-Z), cut at ASCII white space and before signs behind a letter, and their words numbered by Arrow; each distinct
+    word of a call is looked up once. What the normalizer and pre-tokenizer make of lower-case letters (PLAIN) is their spelling in
+    the byte alphabet, so the model itself is given many of them at once; their ids are told apart by the suffix that ends a word. Any
+    other word goes through the whole tokenizer by itself. Ids of words lie in one pool.
     """
 
     def __init__(self, path: str):
@@ -59,7 +67,7 @@ class Encoder:
         self.bare = Tokenizer(self.tokenizer.model)
         self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         byte = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        letters = [chr(c) for c in range(256) if PLAIN.fullmatch(chr(c))]
+        letters = [chr(c) for c in range(256) if re.fullmatch(PLAIN, chr(c).lower())]
         # the signs that spell these are no lower-case letters themselves, so replacing one by one is safe
         self.spelling = {c: byte.pre_tokenize_str(c)[0][0] for c in letters if not c.isascii() and c == c.lower()}
         suffix = self.tokenizer.model.end_of_word_suffix
@@ -67,52 +75,45 @@ class Encoder:
         if suffix:
             self.ends[[i for x, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if x.endswith(suffix)]] = True
         self.clear()
-        for text in ("a b", "a b\nc", "é è", " a  b ", "Some words, then: more!? The end.", "ÉTÉ d'été%%% it's", " ".join(letters), "".join(letters)):
+        samples = ["a b", "a b\nc", "é è", " a  b ", "Some words, then: more!? The end.", "ÉTÉ d'été%%% it's", " ".join(letters), "".join(letters)]
+        samples += ["a\t b\r\nc\x0bd\x0ce\x1cf", "W\u030a w\u030a", "<|ENDOFTEXT|> <|endoftext|>", "IT'S,'s .'T x.'s", *(f"{a}{b}É{b} {b}{a}" for a in "aZ" for b in ".,;:!?#*$%&")]
+        for text in samples:
             if list(self.ids([text])[0]) != self.tokenizer.encode(text, add_special_tokens=False).ids:
                 raise ValueError("tokens of this tokenizer may span white space, or its words have no suffix")
 
     def clear(self) -> None:
-        """Forget all words. Words and pieces are numbered as they come; piece 0 is empty."""
-        self.known = defaultdict(count().__next__)
-        self.pieces = defaultdict(count(1).__next__, {"": 0})
+        """Forget all words. They are numbered as they come; word 0 is empty."""
+        self.known = defaultdict(count(1).__next__, {"": 0})
         self.pool, self.start, self.length = np.zeros(0, self.kind), np.zeros(1, np.int64), np.zeros(1, np.int64)
-        self.core, self.tail = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     @staticmethod
-    def split(text: str) -> list[str]:
-        return text.replace("\n", " ").split(" ")
+    def words(texts: pa.Array) -> pa.ListArray:
+        """The words of each text, some of them empty."""
+        cased = pc.match_substring_regex(texts, CASED)
+        lower = pc.replace_substring_regex(pc.ascii_lower(texts), BEFORE_SIGN, r"\1 \2")
+        return pc.ascii_split_whitespace(pc.if_else(cased, texts, lower) if pc.any(cased).as_py() else lower)
 
-    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def ids(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and where each text ends in it."""
-        if len(self.known) + len(self.pieces) > REMEMBERED:
+        if len(self.known) > REMEMBERED or len(self.pool) > 8 * REMEMBERED:
             self.clear()
-        words = [self.split(t) for t in texts]
-        each = np.array([len(w) for w in words], np.int64)
-        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(words)), np.int64, each.sum())
-        self.learn(list(islice(reversed(self.known), len(self.known) - len(self.core)))[::-1])
-        piece = np.empty(2 * len(at), np.int64)
-        piece[::2], piece[1::2] = self.core[at], self.tail[at]
-        n = self.length[piece]
-        upto = np.append(0, np.cumsum(n))
-        ids = self.pool[np.repeat(self.start[piece] - upto[:-1], n) + np.arange(upto[-1])]
-        return ids, upto[2 * np.cumsum(each)]
-
-    def learn(self, words: list[str]) -> None:
-        """Cut newly numbered words into pieces and add the new pieces to the pool."""
-        number, had = self.pieces, len(self.pieces)
-        core, tail, plain = [], [], set()
-        for w in words:
-            if m := PLAIN.fullmatch(w):
-                x, y = m.groups()
-                core.append(i := number[x.lower()])
-                tail.append(number[y])
-                if i >= had:
-                    plain.add(i)
-            else:
-                core.append(number[w])
-                tail.append(0)
-        new = list(islice(reversed(number), len(number) - had))[::-1]
-        is_plain = np.isin(np.arange(had, len(number)), np.fromiter(plain, np.int64, len(plain)))
+        split = self.words(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string()))
+        each = pc.list_value_length(split).to_numpy()
+        coded = split.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        at = np.fromiter(map(self.known.__getitem__, distinct), np.int32, len(distinct))
+        if len(self.known) > len(self.start):
+            self.learn(list(islice(reversed(self.known), len(self.known) - len(self.start)))[::-1])
+        word = at[coded.indices.to_numpy()]
+        n = self.length[word]
+        upto = np.append(0, np.cumsum(n, dtype=np.int64))
+        place = np.arange(upto[-1])
+        place += np.repeat(self.start[word] - upto[:-1], n)
+        return self.pool[place], upto[np.cumsum(each, dtype=np.int64)]
+
+    def learn(self, new: list[str]) -> None:
+        """Add newly numbered words to the pool."""
+        is_plain = pc.match_substring_regex(pa.array(new, pa.large_string()), PLAIN).to_numpy(zero_copy_only=False)
         joined = self.spelled(list(compress(new, is_plain)))
         whole = self.tokenizer.encode_batch_fast(list(compress(new, ~is_plain)), add_special_tokens=False)
         whole = [np.array(e.ids, self.kind) for e in whole]
@@ -124,7 +125,6 @@ class Encoder:
             start[part] = at + np.cumsum(length[part]) - length[part]
         self.pool = np.concatenate([self.pool, joined, *whole])
         self.start, self.length = np.append(self.start, start), np.append(self.length, length)
-        self.core, self.tail = np.append(self.core, np.array(core, np.int64)), np.append(self.tail, np.array(tail, np.int64))
 
     def spelled(self, words: list[str]) -> np.ndarray:
         """The ids of lower-case words of letters in a row."""
@@ -167,9 +167,10 @@ def encoded(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
             give_back()
         e = encoder(tokenizer_path)
         for b in batches:
-            for c in chunks(b.column(1)):
-                texts = b.column(1).slice(c.lo, c.hi - c.lo).to_pylist()
-                ids, ends = e.ids([t or "" for t in texts])
+            # cast before it is cut: Arrow's lower-casing misreads a part that was cast
+            texts = pc.fill_null(b.column(1).cast(pa.large_string()), "")
+            for c in chunks(texts, SPLIT_BYTES):
+                ids, ends = e.ids(texts.slice(c.lo, c.hi - c.lo))
                 ids = np.insert(ids, ends, end_id)
                 offsets = np.append(0, ends + np.arange(1, len(ends) + 1)) * e.kind.itemsize
                 blob = pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(ids)])
@@ -185,8 +186,10 @@ def frequencies(tokens: DataFrame, kind: np.dtype, size: int) -> np.ndarray:
         forget()
         sums = np.zeros(size, np.int64)
         for b in batches:
-            for x in b.column(0):
-                sums += np.bincount(np.frombuffer(x.as_buffer(), kind), minlength=size)
+            offsets = np.frombuffer(b.column(0).buffers()[1], np.int32)[b.column(0).offset :][: len(b) + 1]
+            if len(b):
+                data = np.frombuffer(b.column(0).buffers()[2], kind, (offsets[-1] - offsets[0]) // kind.itemsize, offsets[0])
+                sums += np.bincount(data, minlength=size)
         used = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(sums[used])], ["id", "n"])
 
@@ -227,18 +230,21 @@ class Table:
         state = np.full(LANES, LOW, U)
         last = (len(ids) + LANES - 1) // LANES
         out, states, read, written = [], [], [], 0
-        shift = U(63) - self.scale
         freq, begin = self.freq[ids], self.begin[ids]
+        most, other = freq << (U(63) - self.scale), (U(1) << self.scale) - freq
         for s in range(last - 1, -1, -1):
-            f, c = freq[s * LANES : (s + 1) * LANES], begin[s * LANES : (s + 1) * LANES]
+            at = slice(s * LANES, (s + 1) * LANES)
+            f = freq[at]
             x = state[: len(f)]
-            over = x >= (f << shift)
-            if over.any():
-                out.append((x[over] & U(0xFFFFFFFF)).astype("<u4"))
-                written += len(out[-1])
-                x = np.where(over, x >> U(32), x)
-            q = x // f
-            state[: len(f)] = (q << self.scale) + (x - q * f) + c
+            over = np.flatnonzero(x >= most[at])
+            if len(over):
+                full = x[over]
+                out.append(full.astype("<u4"))
+                written += len(over)
+                x[over] = full >> U(32)
+            # (x // f << scale) + x % f + begin
+            x += x // f * other[at]
+            x += begin[at]
             if s % STEPS == 0:
                 states.append(state.copy())
                 read.append(written)

@@ -491,3 +491,18 @@ def test_encoder_is_forgotten():
     assert token_files._encoders
     token_files.forget()
     assert not token_files._encoders
+
+
+def test_encoder_folds_case_and_signs():
+    e = token_files.Encoder(WORD)
+    alphabet = "aZéÉßİſ KǰW̊́̈́ \u0085\x1c  \t\r\n.,;:!?#*$%&'’<|>0٣÷×µªΣς漢" + "  \n"
+    signs = np.random.default_rng(3)
+    texts = ["".join(signs.choice(list(alphabet), signs.integers(0, 40))) for _ in range(3000)]
+    texts += ["<|endoftext|> a", "<|ENDOFTEXT|>, A.", "it'S IT'S. 'S,'s", "", " ", "Odd́ ODD̊."]
+    ids, ends = e.ids(texts)
+    want = [x.ids for x in e.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [p.tolist() for p in np.split(ids, ends[:-1])] == want
+    # one entry for a word, however it is written; signs have their own
+    had = len(e.known)
+    e.ids(["Xyzzyq xyzzyq XYZZYQ, xyzzyq. xyzzyq!"])
+    assert len(e.known) - had == 1
