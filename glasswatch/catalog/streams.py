@@ -69,9 +69,7 @@ def _closed_windows(s, d):
         rq.closed_windows_to(rq.rate_windows(rq.read_files(s, folder, log.schema), _LIMIT), out, checkpoint).awaitTermination()
         rq.compact_windows(s, out, days)
     closed = rq.read_closed_windows(s, out, days)
-    late = rq.late_requests(s.read.schema(log.schema).parquet(folder), closed, _LIMIT)
-    counts = closed.withColumn("n_late", F.lit(0).cast("long")).unionByName(late.withColumn("n", F.lit(0).cast("long")))
-    return counts.groupBy("key_id", "window_start", "window_end").agg(F.sum("n").alias("n"), F.sum("n_late").alias("n_late"))
+    return rq.late_requests(s.read.schema(log.schema).parquet(folder), closed, _LIMIT, every=True)
 
 
 cte(

@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from glasswatch.config import RateLimit
-from glasswatch.functions.joins import join_null_safe
 from glasswatch.operators.researcher import outcome_class
 from glasswatch.operators.staging import stage_table
 from glasswatch.sources.sinks import write_by_day
@@ -103,19 +102,40 @@ def closed_windows_to(windows: DataFrame, path: str, checkpoint: str) -> Streami
     return append_to(windows, path, checkpoint)
 
 
-def late_requests(requests: DataFrame, closed: DataFrame, limit: RateLimit = RateLimit()) -> DataFrame:
+def late_requests(requests: DataFrame, closed: DataFrame, limit: RateLimit = RateLimit(), every: bool = False) -> DataFrame:
     """Requests that came after their window had closed, counted per key and window: ``key_id, window_start, window_end, n_late``.
 
     ``requests`` is the whole log, ``closed`` the stream's table (``read_closed_windows``). Windows close in the order of their ends, so all
-    that end with the last closed one or before are closed, also those that had no request in time. Both sides are counts per key and
-    window before they meet, so a busy key is spread over its windows.
+    that end with the last closed one or before are closed, also those that had no request in time. ``every`` gives the closed windows without
+    late requests too, and the count ``n`` they closed with.
+
+    The log is moved as counts per key and minute, which meet the closed windows by key and day and only there become windows: a
+    request is moved once for each day its windows start on, not once for each window, and a busy key is spread over its days.
     """
     through = closed.agg(F.max("window_end").alias("_through"))
-    totals = rate_windows(requests, limit).withColumnRenamed("n", "_total").join(F.broadcast(through), F.col("window_end") <= F.col("_through"))
-    counted = closed.select("key_id", "window_start", F.col("n").alias("_counted"))
-    late = F.col("_total") - F.coalesce(F.col("_counted"), F.lit(0))
-    met = join_null_safe(totals, counted, ["key_id", "window_start"], "left").withColumn("n_late", late)
-    return met.filter("n_late > 0").select("key_id", "window_start", "window_end", "n_late")
+    minute = F.window(F.col("requested_at").cast("timestamp"), "1 minute")["start"].alias("_at")
+    minutes = requests.select("key_id", minute).groupBy("key_id", "_at").agg(F.count(F.lit(1)).alias("_total"))
+    day = lambda at: F.to_date(at.cast("timestamp_ntz"))
+    before = lambda at, n: at - F.make_dt_interval(mins=F.lit(n))
+    at, back = F.col("_at"), limit.minutes - 1
+    totals = minutes.select("key_id", F.explode(F.sequence(day(before(at, back)), day(at))).alias("_day"), "_at", "_total", F.lit(None).cast("long").alias("n"))
+    start = F.col("window_start").cast("timestamp")
+    counted = closed.select("key_id", day(start).alias("_day"), start.alias("_at"), F.lit(None).cast("long").alias("_total"), "n")
+    starts = F.when(F.col("_total").isNull(), F.array(at)).otherwise(F.array(*[before(at, i) for i in range(limit.minutes)]))
+    met = totals.union(counted).repartition("key_id", "_day").select("key_id", "_day", F.explode(starts).alias("_at"), "_total", "n")
+    start, end = (x.cast("timestamp_ntz") for x in (at, at + F.make_dt_interval(mins=F.lit(limit.minutes))))
+    windows = (
+        met.filter(day(at) == F.col("_day")).groupBy("key_id", "_day", start.alias("window_start"), end.alias("window_end"))
+        .agg(F.sum("_total").alias("_total"), F.sum("n").alias("n"))
+        .join(F.broadcast(through), F.col("window_end") <= F.col("_through"))
+    )
+    n = F.coalesce("n", F.lit(0))
+    late = windows.select(
+        "key_id", "window_start", "window_end", n.alias("n"), F.greatest(F.coalesce("_total", F.lit(0)) - n, F.lit(0)).alias("n_late"), F.col("n").isNotNull().alias("_closed")
+    )
+    if every:
+        return late.filter("_closed or n_late > 0").drop("_closed")
+    return late.filter("n_late > 0").drop("n", "_closed")
 
 
 def compact_windows(spark: SparkSession, path: str, target: str) -> None:

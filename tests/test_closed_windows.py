@@ -50,3 +50,24 @@ def test_each_window_once_over_restarts_with_late_requests(spark, tmp_path):
     # the first day is copied, the second may still grow
     copied = spark.read.parquet(days).select(F.col("window_day").cast("string")).distinct().collect()
     assert [r[0] for r in copied] == ["2026-01-01"]
+
+
+def test_late_requests_move_the_log_by_minutes_not_by_windows(spark):
+    start = datetime(2026, 1, 1, 23, 50)
+    in_time = [("a", start + timedelta(seconds=50 * i)) for i in range(40)] + [(None, start + timedelta(minutes=9, seconds=59)), ("b", None)]
+    late = [("a", start + timedelta(minutes=8)), ("a", start + timedelta(minutes=8, seconds=1)), ("c", start + timedelta(minutes=11)), (None, start + timedelta(minutes=10))]
+    through = start + timedelta(minutes=30)
+    rows = [(k, at, at + timedelta(minutes=LIMIT.minutes), n) for (k, at), n in _brute(in_time, through).items()]
+    closed = spark.createDataFrame(rows, "key_id string, window_start timestamp_ntz, window_end timestamp_ntz, n long")
+    log = spark.createDataFrame(in_time + late + [("z", through)], SCHEMA)
+    found = rq.late_requests(log, closed, LIMIT)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and "SortMergeJoin" not in plan
+    last = max(r[2] for r in rows)
+    lost = _brute(late, last)
+    assert {(r["key_id"], r["window_start"]): r["n_late"] for r in found.collect()} == lost
+    assert found.columns == ["key_id", "window_start", "window_end", "n_late"]
+    every = rq.late_requests(log, closed, LIMIT, every=True).collect()
+    kept = _brute(in_time, last)
+    assert {(r["key_id"], r["window_start"]): (r["n"], r["n_late"]) for r in every} == {k: (kept.get(k, 0), lost.get(k, 0)) for k in kept | lost}
+    assert len(every) == len(kept | lost) and all(r["window_end"] - r["window_start"] == timedelta(minutes=LIMIT.minutes) for r in every)
