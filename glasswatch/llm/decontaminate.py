@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glasswatch.llm.tables import give_back, ship, stored
-from glasswatch.llm.words import FOLDED, Chunk, U, Words, chunks, mix, words_of
+from glasswatch.llm.words import FOLDED, SMALL_CHUNK, Chunk, U, Words, chunks, mix, words_of
 
 BLOCK = 16
 FEATURES = 1 << 12
@@ -82,7 +82,7 @@ def passage_counts(docs: DataFrame) -> DataFrame:
         give_back()
         sums, n = np.zeros(FEATURES, np.int64), 0
         for b in batches:
-            for c in chunks(b.column(0)):
+            for c in chunks(b.column(0), SMALL_CHUNK):
                 w = words_of(c, FOLDED)
                 if not len(w.hash):
                     continue
@@ -342,7 +342,7 @@ def matches(docs: DataFrame, items, limits: Limits) -> DataFrame:
         it = items.value
         for b in batches:
             ids, out = b.column(0), []
-            for c in chunks(b.column(1)):
+            for c in chunks(b.column(1), SMALL_CHUNK):
                 out += [(ids[c.lo + r].as_py(), it.ids[i], x, y) for (r, i), (x, y) in _found(c, it, limits).items()]
             if out:
                 kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64()]
@@ -357,7 +357,7 @@ def without_matches(docs: DataFrame, items, limits: Limits) -> DataFrame:
 
     def clean(text: pa.Array) -> pa.Array:
         keep = np.ones(len(text), bool)
-        for c in chunks(text):
+        for c in chunks(text, SMALL_CHUNK):
             keep[[c.lo + r for r, _ in _found(c, items.value, limits)]] = False
         return pa.array(keep)
 

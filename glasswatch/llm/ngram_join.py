@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 from glasswatch.llm.graph import components
 from glasswatch.llm.packing import hash_bits, pack, ranges_for, unpack
-from glasswatch.llm.tables import ship, stored
-from glasswatch.llm.words import FOLDED, U, chunks, mix, ngrams, words_of
+from glasswatch.llm.tables import give_back, ship, stored
+from glasswatch.llm.words import FOLDED, SMALL_CHUNK, U, chunks, mix, ngrams, words_of
 
 #: Bound of the list of frequent n-grams, which every task holds: 16 bytes each. It only shapes the order.
 FREQUENT = 1 << 19
@@ -43,7 +43,7 @@ LISTED = U(1 << 63)
 
 def _sets(texts: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Of each chunk: first row, offsets into the n-grams by row, and the distinct n-grams of each row."""
-    for c in chunks(texts):
+    for c in chunks(texts, SMALL_CHUNK):
         w = words_of(c, FOLDED)
         at, h = ngrams(w, size)
         row = w.row[at]
@@ -98,6 +98,7 @@ def frequent_ngrams(docs: DataFrame, size: int, limit: int = FREQUENT) -> tuple[
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["part", "blob"])
 
     def spread(batches):
+        give_back()
         held, n = [], 0
         for b in batches:
             for _, _, h in _sets(b.column(0), size):
@@ -158,6 +159,7 @@ def prefixes(docs: DataFrame, size: int, percent: int, order) -> DataFrame:
     """A row for each of the first n-grams of every set: block ``h``, ``listed``, ``sig``, ``n``, and position ``pos``."""
 
     def run(batches):
+        give_back()
         o, seen = order.value, set()
         for b in batches:
             for _, offsets, h in _sets(b.column(0), size):
@@ -209,6 +211,7 @@ def segments(docs: DataFrame, size: int, order, wanted) -> DataFrame:
     """
 
     def run(batches):
+        give_back()
         o, bits, seen = order.value, wanted.value, set()
         held = lambda at: (bits[at >> 5] >> (at & 31).astype(np.uint32)) & 1
         for b in batches:

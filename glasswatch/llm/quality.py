@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glasswatch.llm.tables import ship, stored
-from glasswatch.llm.words import IS_SPACE, chunks, mix, ngrams, words_of
+from glasswatch.llm.words import IS_SPACE, SMALL_CHUNK, chunks, mix, ngrams, words_of
 
 SYMBOLS = np.zeros(256, dtype=bool)
 SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
@@ -88,7 +88,7 @@ def text_counts(docs: DataFrame, *keep: str) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            for c in chunks(b.column(b.num_columns - 1)):
+            for c in chunks(b.column(b.num_columns - 1), SMALL_CHUNK):
                 kept = [b.column(i).slice(c.lo, c.hi - c.lo) for i in range(b.num_columns - 1)]
                 yield pa.RecordBatch.from_arrays([*kept, *(pa.array(x.astype(np.int64)) for x in _counts(c))], [*keep, *COUNTS])
 

@@ -1,7 +1,7 @@
 """Words of whole texts, their 64-bit hashes and n-gram hashes, computed with numpy on Arrow batches.
 
 A word is a run of bytes other than space, tab, line feed, vertical tab, form feed and carriage return, which on UTF-8
-equals the pattern ``[^\\x20\\x09-\\x0D]+``. Texts are handled in chunks of about a megabyte, so memory does not depend on
+equals the pattern ``[^\\x20\\x09-\\x0D]+``. Texts are handled in chunks of a megabyte at most, so memory does not depend on
 the size of an Arrow batch; a text longer than that is a chunk of its own.
 """
 
@@ -15,6 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK_BYTES = 1 << 20
+#: For steps that give rows as they go: arrays of eight bytes for each byte of text stay in the processor's cache.
+SMALL_CHUNK = 1 << 18
 U = np.uint64
 
 
@@ -39,7 +41,7 @@ def powers(base: int, n: int) -> np.ndarray:
     """The first ``n`` powers of an odd number modulo 2**64."""
     known = _powers.get(base)
     if known is None or len(known) < n:
-        factors = np.full(max(n, CHUNK_BYTES + 1), base, dtype=U)
+        factors = np.full(max(n, (SMALL_CHUNK if n <= SMALL_CHUNK + 1 else CHUNK_BYTES) + 1), base, dtype=U)
         factors[0] = 1
         known = _powers[base] = np.multiply.accumulate(factors)
     return known[:n]

@@ -2,8 +2,10 @@
 very many secrets in a text."""
 
 import random
+import tracemalloc
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from glasswatch.llm import licenses, ngram_join, secret_scan
@@ -39,3 +41,17 @@ def test_texts_with_very_many_secrets(spark):
     got = {r["doc_id"]: (r["n"], r["last"] and (r["last"]["start"], r["last"]["end"])) for r in found.collect()}
     end = 26 * n - 1
     assert got == {1: (n, (end - 24, end)), 2: (1, (0, 24)), 3: (0, None), 4: (0, None)}
+
+
+def test_sets_of_many_texts_take_little_memory_at_a_time():
+    words = " ".join(f"w{i}" for i in range(400))
+    texts = pa.array([f"{i} {words} {i}" for i in range(2000)])
+    list(ngram_join._sets(texts.slice(0, 10), 5))
+    tracemalloc.start()
+    try:
+        found = sum(len(h) for _, _, h in ngram_join._sets(texts, 5))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found == 2000 * 398
+    assert peak < 30 << 20
