@@ -10,7 +10,7 @@ from glasswatch.catalog.registry import register
 from glasswatch.plans import deliveries
 from glasswatch.schemas import BRONZE
 from glasswatch.session import new_path
-from glasswatch.sources import ingest, readers, sinks
+from glasswatch.sources import files, ingest, readers, sinks
 
 _ORDERS = "o_orderkey, o_custkey, o_orderstatus, o_orderpriority"
 
@@ -239,14 +239,11 @@ def _files_twice(s, d):
     docs = t.table(s, d, "documents").select("doc_id", "lang", "source", "text")
     first, second, manifests = (new_path(s, f"files_{n}") for n in ("first", "second", "manifests"))
     rewritten = F.when(F.col("lang") == "fr", F.concat("text", F.lit("!"))).otherwise(F.col("text"))
-    for path, rows in (
-        (first, docs.filter("source is distinct from 'src0'")),
-        (second, docs.filter("lang is distinct from 'es'").withColumn("text", rewritten)),
-    ):
-        rows.select("doc_id", "text").repartition(32, "doc_id").write.option("lineSep", "\n").partitionBy("doc_id").text(path)
-    # Spark chooses the file names, so the folder is the name
-    named = F.regexp_extract("path", r"(doc_id=\d+)/", 1)
+    files.write_each(docs.filter("source is distinct from 'src0'").select("doc_id", "text"), first)
+    named = F.regexp_extract("path", r"/(doc_id=\d+)(/|$)", 1)
     deliveries.check_delivery(s, first, manifests, named)
+    files.delete(s, first)  # the next run meets the manifest only
+    files.write_each(docs.filter("lang is distinct from 'es'").select("doc_id", rewritten.alias("text")), second)
     return deliveries.check_delivery(s, second, manifests, named)
 
 

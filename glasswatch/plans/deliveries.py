@@ -1,6 +1,6 @@
 """Delivered files: which ones changed since the last run, and whether their schemas keep the contract.
 
-File names come from Spark's ``binaryFile`` source, which lists folders on the cluster and reads contents only where they are asked for.
+Files are listed and read by tasks (``sources.files``); contents are read only where they are asked for.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from glasswatch.plans.publish import latest, publish_set, read_set
+from glasswatch.sources import files
 from glasswatch.sources.ingest import header_drift
 
 MANIFEST = "manifest"
@@ -20,8 +21,8 @@ _MANIFEST_SCHEMA = "file string, sha256 string, length long"
 
 
 def delivered(spark: SparkSession, folder: str) -> DataFrame:
-    """All files below a folder: ``path, modificationTime, length, content``. Spark skips files without a byte: they count as not delivered."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    """All files below a folder: ``path, modificationTime, length, content``. Files without a byte are skipped: they count as not delivered."""
+    return files.contents(spark, folder)
 
 
 def file_hashes(spark: SparkSession, folder: str, file: Column | None = None) -> DataFrame:
@@ -29,7 +30,7 @@ def file_hashes(spark: SparkSession, folder: str, file: Column | None = None) ->
     uri = spark._jvm.org.apache.hadoop.fs.Path(folder)
     root = uri.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(uri).toString()
     name = F.substr("path", F.lit(len(root) + 2)) if file is None else file
-    return delivered(spark, folder).select(name.alias("file"), F.sha2("content", 256).alias("sha256"), "length")
+    return files.hashes(spark, folder).select(name.alias("file"), "sha256", "length")
 
 
 def check_delivery(spark: SparkSession, folder: str, manifests: str, file: Column | None = None) -> DataFrame:
@@ -86,7 +87,7 @@ def footers(spark: SparkSession, folder: str) -> DataFrame:
 
     Tasks open the files' ends through Arrow's file systems, so executors need access to the folder; the driver sees no footer.
     """
-    paths = delivered(spark, folder).select("path").filter(F.col("path").endswith(".parquet"))
+    paths = files.listed(spark, folder).select("path").filter(F.col("path").endswith(".parquet"))
     # a task for each file would outnumber the work by far
     return paths.coalesce(4 * spark.sparkContext.defaultParallelism).mapInArrow(_footers, "source string, header array<string>")
 
