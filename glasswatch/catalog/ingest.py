@@ -74,8 +74,8 @@ def _scenarios(s, d):
         .alias("track_ids"),
     )
     path = new_path(s, "scenarios")
-    # a folder per document, so that each file holds one, as delivered
-    docs.withColumn("document", F.col("scenario_id")).repartition(32, "document").write.partitionBy("document").json(path)
+    # each file holds one document, as delivered
+    files.write_each(docs.select(F.col("scenario_id").alias("document"), F.to_json(F.struct(*docs.columns)).alias("json")), path)
     return readers.read_scenarios(s, path)
 
 
