@@ -68,7 +68,7 @@ def _closed_windows(s, d):
         log.filter(part).write.mode("append").parquet(folder)
         rq.closed_windows_to(rq.rate_windows(rq.read_files(s, folder, log.schema), _LIMIT), out, checkpoint).awaitTermination()
         rq.compact_windows(s, out, days)
-    closed = rq.read_closed_windows(s, out, days)
+    closed = rq.read_closed_windows(s, out, days, runs=True)
     return rq.late_requests(s.read.schema(log.schema).parquet(folder), closed, _LIMIT, every=True)
 
 
