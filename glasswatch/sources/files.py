@@ -198,7 +198,21 @@ def documents(spark: SparkSession, folder: str) -> DataFrame | None:
 
 
 def delete(spark: SparkSession, folder: str) -> None:
-    """Delete a folder that a run wrote for itself, through the file system it lies in."""
+    """Delete a folder that a run wrote for itself, through the file system it lies in. Tasks delete the folders in it."""
+    root = _opens(spark, folder)
+    if root is not None:
+
+        def deleting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            system, base = _system(root)
+            for batch in batches:
+                for name in batch.column("path").to_pylist():
+                    if system.get_file_info(at := base + name[len(root) :]).type == fs.FileType.Directory:
+                        system.delete_dir(at)
+                yield batch
+
+        at = spark.range(0, 1, 1, 1).select(F.lit(root).alias("path"), F.lit(None).cast("timestamp").alias("modificationTime"), F.lit(_FOLDER).cast("long").alias("length"))
+        folders = at.mapInArrow(_lister(root, False), _LISTED).filter(F.col("length") == _FOLDER).repartition(_tasks(spark), "path")
+        folders.mapInArrow(deleting, _LISTED).agg(F.count(F.lit(1))).collect()
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -208,7 +222,7 @@ def write_each(rows: DataFrame, folder: str) -> None:
 
     The file is named ``column=value``, in a folder per task; Spark's own writer makes it a folder of that name. A file is written aside and
     renamed, so that a task that is run again leaves it whole. Only values are counted over a shuffle, and lines moved only of those that
-    come again, unless the rows lie in too few tasks.
+    come again, unless one task has more than twice its share of the rows.
     """
     spark, (key, line) = rows.sparkSession, rows.columns
     root = _qualified(spark, folder)
@@ -225,7 +239,8 @@ def write_each(rows: DataFrame, folder: str) -> None:
     if not again.isEmpty():
         met = F.col(key).eqNullSafe(F.col("_again"))
         once, several = rows.join(again, met, "left_anti"), rows.join(again, met, "left_semi").repartition(_tasks(spark), key).sortWithinPartitions(key)
-    if rows.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
+    most, n = rows.groupBy(F.spark_partition_id().alias("task")).count().agg(F.max("count"), F.sum("count")).first()
+    if n and most * spark.sparkContext.defaultParallelism > 2 * n:
         once = once.repartition(_tasks(spark), key)
     system, base = _system(root)
     system.create_dir(base)

@@ -61,6 +61,14 @@ def test_a_file_for_each_value(spark, tmp_path, rows):
     assert hashed["k=7"] == hashlib.sha256(b"text 7\n").hexdigest() and len(hashed) == len(written)
 
 
+def test_a_folder_is_deleted_with_all_in_it_and_nothing_beside(spark, tmp_path):
+    _tree(tmp_path / "gone")
+    _tree(tmp_path / "kept")
+    files.delete(spark, str(tmp_path / "gone"))
+    files.delete(spark, str(tmp_path / "never there"))
+    assert [p.name for p in tmp_path.iterdir()] == ["kept"] and files.listed(spark, str(tmp_path)).count() == 5
+
+
 def test_scenarios_are_those_of_sparks_json_reader(spark, tmp_path, rows):
     doc = lambda i, **more: json.dumps({"scenario_id": f"s{i}", "expected_score_min": i, "track_ids": [f"t{i}", "ü"]} | more, indent=2, ensure_ascii=False)
     texts = {
